@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from loamline.llm import blending, containers, leaks
+from loamline.llm import blending, containers, leaks, neardups
 
 
 def registries() -> list:
-    return [m.registry for m in (blending, containers, leaks)]
+    return [m.registry for m in (blending, containers, leaks, neardups)]
