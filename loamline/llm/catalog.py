@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from loamline.llm import blending, containers, leaks, neardups
+from loamline.llm import blending, containers, leaks, neardups, spans
 
 
 def registries() -> list:
-    return [m.registry for m in (blending, containers, leaks, neardups)]
+    return [m.registry for m in (blending, containers, leaks, neardups, spans)]
