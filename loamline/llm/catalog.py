@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from loamline.llm import blending, containers, leaks, neardups, quality, spans
+from loamline.llm import blending, containers, languages, leaks, neardups, pairs, quality, spans
 
 
 def registries() -> list:
-    return [m.registry for m in (blending, containers, leaks, neardups, quality, spans)]
+    return [m.registry for m in (blending, containers, languages, leaks, neardups, pairs, quality, spans)]
