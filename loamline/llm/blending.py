@@ -77,7 +77,7 @@ def _plan(entries: DataFrame, own: DataFrame, max_repeats: int) -> DataFrame:
         .fillna(0, ["n_records", "tokens"])
         .withColumns({"target_share": share, "wanted_tokens": share * F.sum("tokens").over(everything)})
         .withColumn("needed_repeats", F.when(F.col("tokens") > 0, F.col("wanted_tokens") / F.col("tokens")))
-        .withColumn("rate", F.least("needed_repeats", F.lit(float(max_repeats))))
+        .withColumn("rate", F.when(F.col("tokens") > 0, F.least("needed_repeats", F.lit(float(max_repeats)))))
         .withColumn("over_cap", F.col("wanted_tokens") > max_repeats * F.col("tokens"))
     )
 
@@ -150,7 +150,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.add(
     "p1_plan",
     _PLAN_SQL + """SELECT name, CAST(n_records AS BIGINT) AS n_records, CAST(tokens AS BIGINT) AS tokens, round(target_share, 9) AS target_share,
-    round(least(4.0, wanted_tokens / nullif(tokens, 0)), 6) AS rate FROM plan""",
+    round(CASE WHEN tokens > 0 THEN least(4.0, wanted_tokens / tokens) END, 6) AS rate FROM plan""",
 )
 def p1_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blend_plan(*_tables(spark, sf_dir)).select("name", "n_records", "tokens", F.round("target_share", 9).alias("target_share"), F.round("rate", 6).alias("rate"))
