@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: tuple[str, ...] = ("loamline.plans.q_scans", "loamline.plans.q_shaping")
+MODULES: tuple[str, ...] = ("loamline.plans.q_scans", "loamline.plans.q_shaping", "loamline.plans.q_joins", "loamline.plans.q_dedup")
 
 
 def registries() -> list:
