@@ -155,10 +155,10 @@ def join19(spark, sf_dir):
     return q.join(done, ["question_id", "k"]).select("question_id", F.col("k").cast("bigint").alias("k"), F.col("upper").alias("said"))
 
 
-@add("join20_documents_by_file_and_place", "SELECT d.doc_id, d.url FROM documents d WHERE d.doc_id % 3 = 0")
+@add("join20_documents_by_file_and_place", "SELECT d.doc_id, d.url FROM documents d WHERE d.source <> 'scan'")
 def join20(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").withColumn("at", F.row_number().over(Window.partitionBy("file_name").orderBy("doc_id")))
-    kept = docs.where("doc_id % 3 = 0").select("file_name", "at")
+    kept = docs.where("source <> 'scan'").select("file_name", "at")
     return docs.join(kept, ["file_name", "at"]).select("doc_id", "url")
 
 

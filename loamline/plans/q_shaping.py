@@ -247,3 +247,58 @@ def proj45(spark, sf_dir):
 def proj46(spark, sf_dir):
     files = load(spark, sf_dir, "documents").groupBy("source_id").agg(F.collect_set("file_name").alias("f"))
     return files.select("source_id", T.file_identifier(F.col("f")).alias("identifier"))
+
+
+@add("proj16_language_score")
+def proj16(spark, sf_dir):
+    from loamline.operators.scoring import language_score
+
+    scored = load(spark, sf_dir, "documents").select("doc_id", language_score("text").alias("l"))
+    return scored.select("doc_id", "l.score", "l.code").where("score >= 0.3")
+
+
+@add("proj18_token_count", r"SELECT doc_id, CAST(len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')) AS BIGINT) AS tokens FROM documents WHERE len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')) BETWEEN 30 AND 500")
+def proj18(spark, sf_dir):
+    from loamline.functions.tokens import plain_tokens
+
+    return load(spark, sf_dir, "documents").select("doc_id", F.size(plain_tokens(F.col("text"))).cast("bigint").alias("tokens")).where("tokens BETWEEN 30 AND 500")
+
+
+@add("proj21_domains")
+def proj21(spark, sf_dir):
+    from loamline.operators.scoring import domains
+
+    rows = sft(spark, sf_dir)
+    return domains(rows.where("topic IN ('banking', 'mathematics', 'retrieval')"), rows, "row_id", "user_query", "topic", ["banking"])
+
+
+@add("proj22_repaired_text")
+def proj22(spark, sf_dir):
+    from loamline.operators.scoring import repaired
+
+    rows = load(spark, sf_dir, "documents").select("doc_id", "text", repaired("text").alias("fixed"))
+    return rows.select("doc_id", "fixed", (~F.col("text").eqNullSafe(F.col("fixed"))).alias("changed"))
+
+
+@add("proj28_question_pairs", f"SELECT row_id, trim(user_query) AS question, trim(topic) AS answer FROM {SFT} t WHERE trim(user_query) <> '' AND trim(topic) <> '' AND NOT regexp_matches(user_query, '(Question|Q|Answer|A):|^\\s|\\s$') AND NOT regexp_matches(topic, '(Question|Q|Answer|A):|^\\s|\\s$')")
+def proj28(spark, sf_dir):
+    from loamline.operators.scoring import question_pairs
+
+    plain = lambda c: ~F.col(c).rlike(r"(Question|Q|Answer|A):|^\s|\s$")
+    rows = sft(spark, sf_dir).where((F.trim("user_query") != "") & (F.trim("topic") != "") & plain("user_query") & plain("topic"))
+    said = F.concat(F.lit("Here they are.\nQuestion: "), "user_query", F.lit("\nAnswer: "), "topic", F.lit("\nQuestion: none\nAnswer: "))
+    return rows.select("row_id", F.inline(question_pairs(said)))
+
+
+@add("proj28_bullet_items", r"SELECT rec_id, trim(regexp_replace(s, '^\s*[-*•]\s+|\s+$', '', 'g')) AS item FROM (SELECT rec_id, unnest(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^\s*[-*•]\s+\S'))) AS s FROM (SELECT DISTINCT rec_id, text FROM tiny WHERE text IS NOT NULL) a) t")
+def proj28_bullets(spark, sf_dir):
+    from loamline.operators.scoring import bullet_items
+
+    rows = load(spark, sf_dir, "tiny").where("text IS NOT NULL").select("rec_id", "text").distinct()
+    return rows.select("rec_id", F.explode(bullet_items(F.col("text"))).alias("item")).withColumn("item", F.trim("item"))
+
+
+@add("proj38_text_to_sql", "SELECT question_id, 'Schema: ' || category || chr(10) || 'Question: ' || question || chr(10) || 'SQL: ' || answer AS said FROM benchmark_mcq WHERE length('Schema: ' || category || chr(10) || 'Question: ' || question || chr(10) || 'SQL: ' || answer) <= 400 ORDER BY length(said)")
+def proj38(spark, sf_dir):
+    said = F.concat(F.lit("Schema: "), "category", F.lit("\nQuestion: "), "question", F.lit("\nSQL: "), "answer")
+    return load(spark, sf_dir, "benchmark_mcq").select("question_id", said.alias("said")).where("char_length(said) <= 400").orderBy(F.char_length("said"), "question_id")
