@@ -17,7 +17,7 @@ class HyperplaneIndex:
     the join, and scores are computed for the candidates only.
     """
 
-    def __init__(self, rows: DataFrame, key: str, vector: str, tables: int = 24, planes: int = 8, seed: int = 3) -> None:
+    def __init__(self, rows: DataFrame, key: str, vector: str, tables: int = 48, planes: int = 8, seed: int = 3) -> None:
         self.rows, self.key, self.vector = rows, key, vector
         self.tables, self.planes, self.seed = tables, planes, seed
 

@@ -101,9 +101,9 @@ def packed_rows(seqs: DataFrame, bins: DataFrame, shard: str, key: str, tokens:
     held = cut.join(bins.select(shard, key, "part", "bin"), [shard, key])
     order = Window.partitionBy(shard, "part", "bin").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     placed = held.withColumn("at", F.coalesce(F.sum(F.size("t")).over(order), F.lit(0)).cast("int")).withColumn("m", shifted_mask(F.col("m")))
-    packed = placed.groupBy(shard, "part", "bin").agg(F.sort_array(F.collect_list(F.struct("at", key, "t", "m"))).alias("s"))  # as many as fit a bin
+    packed = placed.groupBy(shard, "part", "bin").agg(F.sort_array(F.collect_list(F.struct("at", key, "t", "m"))).alias("__s"))  # as many as fit a bin
     return packed.select(
-        shard, "part", "bin", F.flatten(F.transform("s", lambda x: x["t"])).alias("input_ids"), F.flatten(F.transform("s", lambda x: x["m"])).alias("loss_mask"), F.transform("s", lambda x: x["at"]).alias("seq_start_id")
+        shard, "part", "bin", F.flatten(F.transform("__s", lambda x: x["t"])).alias("input_ids"), F.flatten(F.transform("__s", lambda x: x["m"])).alias("loss_mask"), F.transform("__s", lambda x: x["at"]).alias("seq_start_id")
     )
 
 
