@@ -31,31 +31,48 @@ def corpus_of(df: DataFrame, text: str) -> DataFrame:
     return df.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).distinct().select(short_digest(F.col("text"), "d_").alias("corpus_id"), "text")
 
 
-def _minhash(width: int, bands: int, rows: int, seed: int):
-    prime = (1 << 31) - 1
-    rng = np.random.default_rng(seed)
-    a = rng.integers(1, prime, bands * rows).astype(np.uint64)
-    c = rng.integers(0, prime, bands * rows).astype(np.uint64)
+def _character_runs(text: str, width: int) -> np.ndarray:
+    """The hashes of the different runs of ``width`` characters."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    if len(codes) < width:
+        return np.zeros(0, np.uint64)
+    h, done = codes, 1  # h[i] stands for the ``done`` characters from i on
+    while done < width:
+        step = min(done, width - done)
+        h = (h[: len(h) - step] * np.uint64(0x9E3779B97F4A7C15) ^ (h[step:] + np.uint64(done))) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        done += step
+    return np.unique(h)
+
+
+def _minima(runs: np.ndarray, n: int) -> np.ndarray:
+    """``n`` minimum hashes by one permutation: the smallest hash of each of ``n`` bins, an empty bin taking that of the
+    next full one together with its distance."""
+    bins = ((runs >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    starts = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]])  # sorted hashes have sorted bins
+    least[bins[starts].astype(np.int64)] = runs[starts]
+    full = np.zeros(n, bool)
+    full[bins[starts].astype(np.int64)] = True
+    where = np.flatnonzero(full)
+    nxt = where[np.searchsorted(where, np.arange(n)) % len(where)]
+    away = (nxt - np.arange(n)) % n
+    return least[nxt] + away.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
 
+def _minhash(width: int, bands: int, rows: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for b in batches:
             owner, bucket = [], [np.zeros(0, np.int64)]
             for i, t in enumerate(b.column(1).to_pylist()):
-                codes = np.frombuffer((t or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-                if len(codes) < width:
-                    continue
-                h = np.zeros(len(codes) - width + 1, np.uint64)
-                for k in range(width):
-                    h = h * np.uint64(1_000_003) + codes[k : k + len(h)].astype(np.uint64)
-                h = np.unique((h ^ (h >> np.uint64(29))) % np.uint64(prime))
-                least = np.full(bands * rows, np.uint64(prime))
-                for at in range(0, len(h), 20_000):
-                    least = np.minimum(least, ((a[:, None] * h[None, at : at + 20_000] + c[:, None]) % np.uint64(prime)).min(axis=1))
-                own = [xxhash.xxh64_intdigest(least[k * rows : (k + 1) * rows].tobytes(), k) for k in range(bands)]
-                owner += [i] * bands
-                bucket.append(np.array(own, np.uint64).view(np.int64))
+                runs = _character_runs(t or "", width)
+                if len(runs):
+                    least = _minima(runs, bands * rows)
+                    own = [xxhash.xxh64_intdigest(least[k * rows : (k + 1) * rows].tobytes(), seed + k) for k in range(bands)]
+                    owner += [i] * bands
+                    bucket.append(np.array(own, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owner, pa.int64())), pa.array(np.concatenate(bucket))], names=["id", "bucket"])
 
     return run

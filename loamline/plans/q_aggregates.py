@@ -12,6 +12,7 @@ from loamline.operators.dedup import exact_duplicate_ids
 from loamline.plans.q_joins import top_k
 from loamline.plans.q_shaping import PREF, SFT, pref, sft
 from loamline.registry import Registry
+from loamline.session import cut
 from loamline.tables import load
 
 registry = Registry()
@@ -48,7 +49,7 @@ def agg02(spark, sf_dir):
 @add("agg02_quality_buckets", f"WITH {_SCORED}, {_CUM}, {_THR} SELECT bucket, lang, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes FROM (SELECT *, CAST((SELECT count(*) FROM thr WHERE threshold <= score) AS INT) AS bucket FROM scored) t GROUP BY bucket, lang")
 def agg02_buckets(spark, sf_dir):
     """The flagship: filters, exact deduplication, byte-weighted percentiles, buckets and counts."""
-    return A.bucketed(scored(spark, sf_dir), "score", "bytes", PERCENTS).groupBy("bucket", "lang").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    return A.bucketed(cut(scored(spark, sf_dir)), "score", "bytes", PERCENTS).groupBy("bucket", "lang").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
 
 
 @add("agg03_threshold_sample")
