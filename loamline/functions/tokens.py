@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamline.session import spread
+
 PLAIN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 #: Fixed value: how the public byte-level vocabulary splits a text before merging.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -65,4 +67,4 @@ def tokenize(df: DataFrame, key: str, text: str, kind: str, path: str, end: int
                     errors.append(str(e)[:200])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tokens, pa.list_(pa.int32())), pa.array(errors, pa.string())], names=[key, "tokens", "error"])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, tokens array<int>, error string")
+    return spread(df.select(key, text)).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, tokens array<int>, error string")

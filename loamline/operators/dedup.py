@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loamline.functions.text import short_digest
 from loamline.functions.vectors import cosine
 from loamline.operators.graph import components
-from loamline.session import cut
+from loamline.session import cut, spread
 
 
 def exact_duplicate_ids(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -85,7 +85,7 @@ def fuzzy_duplicates(docs: DataFrame, key: str, text: str, width: int = 24, band
     link a document; the minimum is pre-aggregated and the links make up the same components as all pairs would.
     """
     kind = docs.schema[key].dataType.simpleString()
-    placed = cut(docs.select(key, text).where(F.col(key).isNotNull()).mapInArrow(_minhash(width, bands, rows, seed), f"id {kind}, bucket bigint"))
+    placed = cut(spread(docs.select(key, text).where(F.col(key).isNotNull())).mapInArrow(_minhash(width, bands, rows, seed), f"id {kind}, bucket bigint"))
     least = placed.groupBy("bucket").agg(F.min("id").alias("y"), F.count("*").alias("n")).where("n > 1").drop("n")
     links = placed.join(least, "bucket").where("id <> y").select(F.col("id").alias("x"), "y").distinct()
     return components(links).select(F.col("node").alias(key), F.col("label").alias("group"))

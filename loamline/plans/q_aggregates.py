@@ -12,7 +12,7 @@ from loamline.operators.dedup import exact_duplicate_ids
 from loamline.plans.q_joins import top_k
 from loamline.plans.q_shaping import PREF, SFT, pref, sft
 from loamline.registry import Registry
-from loamline.session import cut
+from loamline.session import cut, spread
 from loamline.tables import load
 
 registry = Registry()
@@ -23,7 +23,7 @@ PERCENTS = list(range(5, 100, 5))
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of 50 to 5,000 words, the first of each text, with a score and their bytes."""
-    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text").where(T.long_enough(F.col("text"), 100))
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text").where(T.long_enough(F.col("text"), 100)))
     docs = docs.withColumn("n_words", T.word_count(F.col("text"))).where("n_words BETWEEN 50 AND 5000")
     first = docs.join(exact_duplicate_ids(docs, "doc_id", "text"), "doc_id", "left_anti")
     return first.select("doc_id", "lang", "source", (F.char_length("text") * 100 / F.col("n_words")).cast("bigint").cast("double").alias("score"), F.octet_length("text").cast("bigint").alias("bytes"))

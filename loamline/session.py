@@ -43,3 +43,13 @@ def cut(df: DataFrame) -> DataFrame:
             shared = tempfile.mkdtemp(prefix="loamline-checkpoint-")
         sc.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores, for work in Python that follows.
+
+    A table of a few files, or of one, is read by as many tasks; where they are fewer than the cores its rows
+    are dealt out again. A table of many files stays as it is. For frames that need no shuffle only.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

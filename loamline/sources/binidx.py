@@ -16,7 +16,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 # The layout of an index.
@@ -64,7 +66,7 @@ class _Part(InputPartition):
     last: int
 
 
-class _Writer(DataSourceWriter):
+class _Writer(DataSourceArrowWriter):
     def __init__(self, schema: StructType, options: dict, overwrite: bool) -> None:
         self.folder, self.dtype, self.overwrite = _folder(options["path"]), options.get("dtype", "int32"), overwrite
         if self.dtype not in CODES:
@@ -72,7 +74,7 @@ class _Writer(DataSourceWriter):
         self.column = schema.fieldNames().index(options.get("column", schema.fieldNames()[-1]))
         self.job = uuid.uuid4().hex
 
-    def write(self, rows: Iterator) -> WriterCommitMessage:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         from pyspark import TaskContext
 
         os.makedirs(self.folder, exist_ok=True)
@@ -80,12 +82,13 @@ class _Writer(DataSourceWriter):
         attempt = os.path.join(self.folder, f".{uuid.uuid4().hex}")
         lengths, limits = [], np.iinfo(self.dtype)
         with open(attempt + ".bin", "wb") as f:
-            for row in rows:
-                wide = np.array(row[self.column] or [], np.int64)
+            for batch in batches:
+                column = batch.column(self.column)
+                wide = pc.cast(column.flatten(), pa.int64()).to_numpy()
                 if len(wide) and (wide.min() < limits.min or wide.max() > limits.max):
                     raise ValueError(f"a token doesn't fit {self.dtype}")
                 f.write(wide.astype(self.dtype).tobytes())
-                lengths.append(len(wide))
+                lengths += pc.fill_null(pc.list_value_length(column), 0).to_pylist()
         write_index(attempt + ".idx", self.dtype, lengths)
         return _Commit(attempt, os.path.join(self.folder, f"part-{self.job[:8]}-{number:05d}"), len(lengths), sum(lengths))
 
@@ -110,6 +113,7 @@ class _Writer(DataSourceWriter):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.folder, self.rows = _folder(options["path"]), int(options.get("rowsPerPartition", 100_000))
+        self.batch = 2_000
 
     def partitions(self) -> list[InputPartition]:
         parts = []
@@ -120,12 +124,16 @@ class _Reader(DataSourceReader):
                 parts += [_Part(stem, k, min(n, k + self.rows)) for k in range(0, n, self.rows)]
         return parts
 
-    def read(self, partition: _Part) -> Iterator[tuple]:
+    def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
         dtype, lengths, starts = read_index(partition.stem + ".idx")
+        name = os.path.basename(partition.stem)
         with open(partition.stem + ".bin", "rb") as f:
-            for k in range(partition.first, partition.last):
+            for k in range(partition.first, partition.last, self.batch):
+                own = lengths[k : min(k + self.batch, partition.last)]
                 f.seek(int(starts[k]))
-                yield os.path.basename(partition.stem), k, np.frombuffer(f.read(int(lengths[k]) * np.dtype(dtype).itemsize), dtype).astype(np.int64).tolist()
+                flat = np.frombuffer(f.read(int(own.sum(dtype=np.int64)) * np.dtype(dtype).itemsize), dtype).astype(np.int64)
+                offsets = np.r_[0, np.cumsum(own, dtype=np.int64)].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(own)), pa.array(np.arange(k, k + len(own))), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["file", "seq_id", "tokens"])
 
 
 class BinIdx(DataSource):
@@ -139,7 +147,7 @@ class BinIdx(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         return _Reader(self.options)
 
-    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         return _Writer(schema, self.options, overwrite)
 
 
