@@ -25,7 +25,10 @@ def once(df: DataFrame, key: str, *also: str) -> DataFrame:
     is left open; delivered twice means that they are the same.
     """
     apart = "__null_key"
-    return df.withColumn(apart, F.when(F.col(key).isNull(), F.monotonically_increasing_id())).dropDuplicates([key, *also, apart]).drop(apart)
+    marked = df.withColumn(apart, F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+    # A number of partitions that is given isn't made smaller: work in Python mostly follows.
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+    return marked.repartition(parts, key, *also, apart).dropDuplicates([key, *also, apart]).drop(apart)
 
 
 def blank(text: Column) -> Column:

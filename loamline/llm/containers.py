@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm.common import once
 from loamline.registry import Registry
-from loamline.session import cut
+from loamline.session import cut, spread
 from loamline.tables import load
 
 registry = Registry()
@@ -76,7 +76,7 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary
             yield pa.RecordBatch.from_arrays([b.column(0), sizes], names=[key, "size"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, size bigint")
+    return spread(docs.select(key, text)).mapInArrow(run, f"`{key}` {kind}, size bigint")
 
 
 def fill(sizes: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm.common import WORD, words
 from loamline.registry import Registry
+from loamline.session import spread
 from loamline.tables import load
 
 registry = Registry()
@@ -88,6 +89,7 @@ def passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     size = long.agg(F.coalesce(F.sum(F.size(F.split("said", r"[^\p{L}\p{N}]+"))), F.lit(0))).first()[0]
     parts = max(1, -(-size // max_item_words))
     kind = docs.schema[key].dataType.simpleString()
+    rows = spread(docs.select(key, text))
     result = None
     for part in range(parts):
         chosen = long if parts == 1 else long.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part)
@@ -108,7 +110,7 @@ def passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
                 kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(index, pa.int64())), *map(pa.array, map(list, cols), kinds)], names=[key, "item", "field", "first_word", "n_words", "start", "end"])
 
-        one = docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, item string, field string, first_word int, n_words int, start int, end int")
+        one = rows.mapInArrow(run, f"`{key}` {kind}, item string, field string, first_word int, n_words int, start int, end int")
         result = one if result is None else result.unionAll(one)
     return result.withColumnRenamed("item", item)
 
