@@ -19,6 +19,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -110,6 +111,16 @@ def _odd(token: str, low: str) -> bool:
     return not vowels or most >= 6 or len(low) > 30
 
 
+def _look(token: str) -> tuple[str, tuple[int, ...], bool]:
+    """A word in its plain form, the languages that it is a function word of, and whether it is odd."""
+    low = _plain(token.lower())
+    mask = _BY_WORD.get(low, 0)
+    return low, tuple(j for j in range(len(FUNCTION_WORDS)) if mask >> j & 1), not mask and _odd(token, low)
+
+
+_seen = lru_cache(1 << 16)(_look)
+
+
 class _Line:
     """What makes a line an item."""
 
@@ -150,19 +161,12 @@ def shares(text: str) -> np.ndarray | None:
                 line.see(c, 2 * size, 0, 0)
                 before = c
                 continue
-            low = _plain(t.lower())
+            low, spoken_in, odd = _seen(t) if size <= 40 else _look(t)
             spoken.append(low)
-            mask = _BY_WORD.get(low, 0)
-            line.see(c, size, size if not mask else 0, bool(mask))
-            if mask:
-                for j in range(len(by_language)):
-                    if mask >> j & 1:
-                        by_language[j] += size
-                n["word"] += size
-            elif _odd(t, low):
-                n["odd"] += size
-            else:
-                n["word"] += size
+            line.see(c, size, 0 if spoken_in else size, bool(spoken_in))
+            for j in spoken_in:
+                by_language[j] += size
+            n["odd" if odd else "word"] += size
             before = c
             continue
         if c != "\n":
@@ -216,17 +220,20 @@ def nearest(text: str | None) -> tuple[str, float] | None:
     if v is None:
         return None
     best: dict[str, float] = {}
-    for kind, profile in PROFILES:
-        best[kind] = min(best.get(kind, 9.0), divergence(v, profile))
+    for (kind, _), d in zip(PROFILES, divergence(v, _MATRIX).tolist()):
+        best[kind] = min(best.get(kind, 9.0), d)
     first, second = sorted(best.items(), key=lambda x: x[1])[:2]
     return first[0], second[1] - first[1]
 
 
-def divergence(p: np.ndarray, q: np.ndarray) -> float:
-    """Jensen-Shannon divergence in bits."""
-    m = (p + q) / 2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return float(sum(np.where(x > 0, x * np.log2(x / m), 0).sum() for x in (p, q)) / 2)
+_MATRIX = np.array([p for _, p in PROFILES])
+
+
+def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon divergence in bits, of distributions or of rows of them."""
+    m = np.maximum((p + q) / 2, 1e-300)
+    part = lambda x: (x * np.log2(np.maximum(x, 1e-300) / m)).sum(axis=-1)
+    return (part(p) + part(q)) / 2
 
 
 def kinds(docs: DataFrame, key: str = "rec_id", text: str = "text") -> DataFrame:
