@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -205,9 +204,9 @@ def shares(text: str) -> np.ndarray | None:
     if wide:
         n["function"] += max(kana, chinese)
         n["word"] += wide - max(kana, chinese)
-    if len(spoken) >= 30:
-        triples = Counter(zip(spoken, spoken[1:], spoken[2:]))
-        if len(triples) < 0.2 * (len(spoken) - 2):
+    if len(spoken) >= 12:
+        triples = set(zip(spoken, spoken[1:], spoken[2:]))
+        if len(triples) < max(5, 0.2 * (len(spoken) - 2)):
             n["odd"] += n["word"] + n["function"] + n["item"]
             n["word"] = n["function"] = n["item"] = 0
     v = np.array([n[c] for c in CLASSES], float)

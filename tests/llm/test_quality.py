@@ -40,6 +40,7 @@ def test_lists_tables_and_junk():
         " ".join("".join(rng.choice("qwrtpsdfghjklzxcvbnmaeiou") for _ in range(rng.randint(2, 11))) for _ in range(80)),
         "".join(rng.choice("#$%&/()=?*+~<>|{}[]^_-.,:;!@\\ ") for _ in range(400)),
         "cheap offer 77 ! " * 60,
+        "mixed inequality 2741 " * 13,
         "\n".join(f"http://h{rng.randrange(10**6)}.example/{rng.randrange(10**6):x}?s={rng.randrange(10**9):x}" for _ in range(12)),
         "".join(rng.choice("���Âã¤¶ aent.,") for _ in range(400)),
     ]
