@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamline.functions.text import short_digest
-from loamline.functions.vectors import cosine
 from loamline.operators.graph import components
 from loamline.session import cut, spread
 
@@ -112,12 +111,56 @@ def without_ranges(tokens: DataFrame, ranges: DataFrame, key: str, words: str) -
     return tokens.join(listed, key, "left").withColumn(words, F.when(F.col("__cut").isNull(), F.col(words)).otherwise(kept)).drop("__cut")
 
 
-def semantic_duplicates(rows: DataFrame, key: str, vector: str, cluster: str, eps: float) -> DataFrame:
-    """(key, other): rows within cosine distance ``eps`` of a row of their cluster with a smaller id; the closest such row.
+def _near_in_blocks(key: str, least: float):
+    """For the rows of two blocks (or of one): each row's nearest one with a smaller key, at ``least`` similarity."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by(key)
+        ids, v = table.column(key), np.array(table.column("v").to_pylist(), np.float64)
+        length = np.linalg.norm(v, axis=1)
+        v = v[:, :] / np.where(length > 0, length, 1)[:, None]
+        one = table.column("tree").to_numpy() == table.column("by").to_numpy()
+        side = table.column("asks").to_numpy(zero_copy_only=False)
+        mine, best, score = [], [], []
+        for at in range(0, len(v), 512):
+            s = np.round(v[at : at + 512] @ v.T, 6)
+            earlier = np.arange(len(v))[None, :] < np.arange(at, at + len(s))[:, None]
+            allowed = earlier & (one[at : at + 512, None] | (side[at : at + 512, None] != side[None, :])) & (length[None, :] > 0) & (length[at : at + 512, None] > 0)
+            s = np.where(allowed, s, -2.0)
+            top = s.argmax(axis=1)  # the first of equal ones: the smallest key
+            hit = np.flatnonzero(s[np.arange(len(s)), top] >= least)
+            mine += (hit + at).tolist()
+            best += top[hit].tolist()
+            score += s[hit, top[hit]].tolist()
+        return pa.table({key: ids.take(pa.array(mine, pa.int64())), "other": ids.take(pa.array(best, pa.int64())), "s": pa.array(score, pa.float64())})
 
-    Clusters must be small enough for pairs, as by k-means with a number of clusters that grows with the table.
+    return run
+
+
+def clusters(rows: DataFrame, key: str, vector: str, k: int, seed: int = 5, fit_rows: int = 100_000) -> DataFrame:
+    """``rows`` with the number of their cluster by k-means, fitted on about ``fit_rows`` rows chosen by hash."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    ready = rows.where(F.col(vector).isNotNull()).withColumn("__v", array_to_vector(F.transform(vector, lambda x: x.cast("double"))))
+    share = min(1.0, fit_rows / max(1, ready.count()))
+    model = KMeans(k=k, seed=seed, featuresCol="__v", predictionCol="cluster").fit(ready.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1_000_000)) < share * 1_000_000))
+    return model.transform(ready).drop("__v")
+
+
+def semantic_duplicates(rows: DataFrame, key: str, vector: str, cluster: str, eps: float, block_rows: int = 4_000) -> DataFrame:
+    """(key, other): rows within cosine distance ``eps`` of a row of their cluster with a smaller key; the closest
+    such row, of equal ones the smallest.
+
+    A cluster is cut into blocks of about ``block_rows``; every block meets itself and each other block of its
+    cluster in a task of its own, as a product of matrices, and gives one row for each of its rows at most. Null
+    and zero vectors are near nothing.
     """
-    a = rows.select(F.col(key), F.col(cluster).alias("c"), F.col(vector).alias("x"))
-    b = rows.select(F.col(key).alias("other"), F.col(cluster).alias("c"), F.col(vector).alias("y"))
-    near = a.join(b, "c").where(F.col("other") < F.col(key)).select(key, "other", F.round(cosine(F.col("x"), F.col("y")), 6).alias("s")).where(F.col("s") >= round(1 - eps, 6))
-    return near.groupBy(key).agg(F.max_by("other", F.struct("s", -F.col("other"))).alias("other"))
+    kind = rows.schema[key].dataType.simpleString()
+    held = rows.where(F.col(vector).isNotNull() & F.col(key).isNotNull()).select(key, F.col(cluster).alias("c"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
+    blocks = held.groupBy("c").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
+    placed = held.join(blocks, "c").withColumn("block", F.pmod(F.xxhash64(F.lit(3), key), F.col("blocks")))
+    meets = placed.withColumn("meets", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    pairs = meets.select(key, "c", "v", F.least("block", "meets").alias("tree"), F.greatest("block", "meets").alias("by"), (F.col("block") > F.col("meets")).alias("asks"))
+    found = pairs.groupBy("c", "tree", "by").applyInArrow(_near_in_blocks(key, round(1 - eps, 6)), f"`{key}` {kind}, other {kind}, s double")
+    return found.groupBy(key).agg(F.min_by("other", F.struct(-F.col("s"), "other")).alias("other"))

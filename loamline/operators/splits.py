@@ -6,8 +6,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _shuffled(seed: int, key: str) -> list[Column]:
-    return [F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), F.col(key)]
+def _ranked(names: DataFrame, key: str, digest: Column) -> DataFrame:
+    """(key, k, n): the place of each different name in the order of its digest, and how many there are.
+
+    The order is made in slices of the digest's first letters: a name's place is the number of names in
+    earlier slices and its place in its own, so no task sorts them all.
+    """
+    hashed = names.where(F.col(key).isNotNull()).select(key).distinct().withColumn("h", digest).withColumn("slice", F.substring("h", 1, 2))
+    sizes = hashed.groupBy("slice").agg(F.count("*").alias("m"))
+    whole = Window.partitionBy(F.lit(1))  # over 256 slices
+    starts = sizes.select("slice", (F.sum("m").over(whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)) - F.col("m")).alias("start"), F.sum("m").over(whole).alias("n"))
+    own = F.row_number().over(Window.partitionBy("slice").orderBy("h", key))
+    return hashed.withColumn("at", own).join(F.broadcast(starts), "slice").select(key, (F.col("start") + F.col("at")).alias("k"), "n")
+
+
+def _md5(seed: int, key: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
 def last_rows(df: DataFrame, part: str, order: str, held: int) -> DataFrame:
@@ -18,31 +32,22 @@ def last_rows(df: DataFrame, part: str, order: str, held: int) -> DataFrame:
 
 
 def shard_splits(shards: DataFrame, key: str, test: int, valid: int, seed: int) -> DataFrame:
-    """Shards, which are few, in shuffled order: the first are ``test``, the next ``valid``, the rest ``train``."""
-    at = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*_shuffled(seed, key)))
-    return shards.withColumn("split", F.when(at <= test, "test").when(at <= test + valid, "valid").otherwise("train"))
+    """Shards in shuffled order: the first are ``test``, the next ``valid``, the rest ``train``. Shards without a name are dropped."""
+    split = F.when(F.col("k") <= test, "test").when(F.col("k") <= test + valid, "valid").otherwise("train")
+    return shards.join(_ranked(shards, key, _md5(seed, key)).select(key, split.alias("split")), key)
 
 
 def group_splits(df: DataFrame, group: str, train: float, val: float, seed: int) -> DataFrame:
-    """Whole groups go to one split. Rows without a group are dropped.
-
-    The groups are ordered by their hash in slices of the hash's first letters, so that their order needs no
-    single sort: a group's rank is the number of groups in earlier slices and its rank within its own.
-    """
-    groups = df.where(F.col(group).isNotNull()).select(group).distinct().withColumn("h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(group).cast("string")))).withColumn("slice", F.substring("h", 1, 2))
-    sizes = groups.groupBy("slice").agg(F.count("*").alias("m"))
-    whole = Window.partitionBy(F.lit(1))  # 256 slices
-    starts = sizes.select("slice", (F.sum("m").over(whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)) - F.col("m")).alias("start"), F.sum("m").over(whole).alias("n"))
-    ranked = groups.withColumn("at", F.row_number().over(Window.partitionBy("slice").orderBy("h", group))).join(F.broadcast(starts), "slice").withColumn("k", F.col("start") + F.col("at"))
+    """Whole groups go to one split. Rows without a group are dropped."""
     a, b = F.floor(F.col("n") * train), F.floor(F.col("n") * val)
-    return df.join(ranked.select(group, F.when(F.col("k") <= a, "train").when(F.col("k") <= a + b, "val").otherwise("test").alias("split")), group)
+    split = F.when(F.col("k") <= a, "train").when(F.col("k") <= a + b, "val").otherwise("test")
+    return df.join(_ranked(df, group, _md5(seed, group)).select(group, split.alias("split")), group)
 
 
 def sampled(shards: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
     """A share of the shards, at least one, by a hash of (seed, name)."""
-    whole = Window.partitionBy(F.lit(1))
-    at = F.row_number().over(whole.orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256)))
-    return shards.select(key, at.alias("k"), F.count("*").over(whole).alias("n")).where(F.col("k") <= F.greatest(F.lit(1), F.ceil(F.col("n") * fraction))).select(key)
+    digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256)
+    return _ranked(shards, key, digest).where(F.col("k") <= F.greatest(F.lit(1), F.ceil(F.col("n") * fraction))).select(key)
 
 
 def ratio_to_shards(total: Column, ratio: float) -> Column:

@@ -105,3 +105,10 @@ def dedup09(spark, sf_dir):
 @add("dedup10_choices", "SELECT question_id, len(list_distinct(list_transform(options, lambda o: string_split(o, ' ')[1]))) AS n FROM benchmark_mcq")
 def dedup10(spark, sf_dir):
     return load(spark, sf_dir, "benchmark_mcq").select("question_id", F.size(F.array_distinct(F.transform("options", lambda o: F.split(o, " ")[0]))).cast("bigint").alias("n"))
+
+
+@add("dedup05_semantic_clusters")
+def dedup05_clusters(spark, sf_dir):
+    """Clusters by k-means first, then near vectors within them."""
+    rows = D.clusters(load(spark, sf_dir, "embeddings"), "vec_id", "embedding", 8)
+    return D.semantic_duplicates(rows, "vec_id", "embedding", "cluster", 0.7)

@@ -159,3 +159,22 @@ def test_domains(spark):
     known = spark.createDataFrame([(k, "money bank loan" if k % 2 else "cell atom gene", "bank" if k % 2 else "bio") for k in range(20)], "id int, t string, y string")
     asked = spark.createDataFrame([(1, "a loan from the bank"), (2, "gene and atom"), (3, None)], "id int, t string")
     assert {r["id"]: r["domain"] for r in domains(known, asked, "id", "t", "y").collect()} == {1: "bank", 2: "bio"}
+
+
+def test_semantic_duplicates_block_by_block(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal((40, 8))
+    v = np.concatenate([base, base[:25] + 0.02 * rng.standard_normal((25, 8)), base[:3]])
+    rows = [(k, k % 40 % 3 if k < 65 else (k - 65) % 3, x.tolist()) for k, x in enumerate(v)] + [(500, 0, None), (501, 0, [0.0] * 8), (502, 0, [0.0] * 8)]
+    df = spark.createDataFrame(rows, "id int, c int, v array<double>")
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    expected = {}
+    for k in range(len(v)):
+        near = [(-round(float(unit[k] @ unit[j]), 6), j) for j in range(k) if rows[j][1] == rows[k][1] and round(float(unit[k] @ unit[j]), 6) >= 0.99]
+        if near:
+            expected[k] = min(near)[1]
+    assert len(expected) == 28
+    for size in (4_000, 7):
+        assert {r["id"]: r["other"] for r in dedup.semantic_duplicates(df, "id", "v", "c", 0.01, size).collect()} == expected
