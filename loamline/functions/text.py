@@ -114,3 +114,39 @@ def snake(name: Column) -> Column:
 
 def short_digest(text: Column, prefix: str = "", length: int = 16) -> Column:
     return F.concat(F.lit(prefix), F.substring(F.sha2(text, 256), 1, length))
+
+
+def recursive_chunks(text: str, width: int, overlap: int, separators: tuple[str, ...] = ("\n\n", "\n", " ", "")) -> list[str]:
+    """A text in chunks of at most ``width`` characters, cut at the coarsest separator that will do.
+
+    Parts that are short enough are put together again; a chunk starts with the last parts of the one before,
+    up to ``overlap`` characters.
+    """
+    if len(text) <= width:
+        return [text] if text.strip() else []
+    mark = next((s for s in separators if s == "" or s in text), "")
+    finer = separators[separators.index(mark) + 1 :] if mark else ()
+    out: list[str] = []
+    held: list[str] = []
+
+    def size(parts: list[str]) -> int:
+        return sum(map(len, parts)) + len(mark) * max(0, len(parts) - 1)
+
+    def flush() -> None:
+        said = mark.join(held).strip()
+        if said:
+            out.append(said)
+
+    for part in text.split(mark) if mark else list(text):
+        if len(part) > width:
+            flush()
+            held = []
+            out += recursive_chunks(part, width, overlap, finer or ("",))
+            continue
+        if held and size([*held, part]) > width:
+            flush()
+            while held and (size(held) > overlap or size([*held, part]) > width):
+                held.pop(0)
+        held.append(part)
+    flush()
+    return out

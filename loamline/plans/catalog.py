@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: tuple[str, ...] = ("loamline.plans.q_scans", "loamline.plans.q_shaping", "loamline.plans.q_joins", "loamline.plans.q_dedup", "loamline.plans.q_aggregates", "loamline.plans.q_windows", "loamline.plans.q_tokens", "loamline.plans.q_runs")
+MODULES: tuple[str, ...] = ("loamline.plans.q_scans", "loamline.plans.q_shaping", "loamline.plans.q_joins", "loamline.plans.q_dedup", "loamline.plans.q_aggregates", "loamline.plans.q_windows", "loamline.plans.q_tokens", "loamline.plans.q_runs", "loamline.plans.q_more")
 
 
 def registries() -> list:

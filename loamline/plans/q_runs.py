@@ -78,11 +78,13 @@ def sink09(spark, sf_dir):
     return back.join(known, "corpus-id", "left_semi").select(F.col("query-id").alias("query_id"), F.col("corpus-id").alias("corpus_id"), "score")
 
 
-@add("sink10_retriever_training", "SELECT vec_id AS question_id, list(other ORDER BY other) AS pos FROM (SELECT a.vec_id, b.vec_id AS other FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0) t GROUP BY vec_id")
+@add("sink10_retriever_training", "SELECT vec_id AS question_id, list(other ORDER BY other) AS pos FROM (SELECT a.vec_id, b.vec_id AS other, row_number() OVER (PARTITION BY a.vec_id ORDER BY b.vec_id) AS k FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0) t WHERE k <= 5 GROUP BY vec_id")
 def sink10(spark, sf_dir):
+    """Questions with their first five positives, which is the most that a training row holds."""
     where = scratch(spark)
     e = load(spark, sf_dir, "embeddings").select("vec_id", "label")
-    rows = e.where("vec_id % 100 = 0").join(e.withColumnRenamed("vec_id", "other"), "label").where("vec_id <> other").groupBy(F.col("vec_id").alias("question_id")).agg(F.sort_array(F.collect_list("other")).alias("pos"))
+    found = e.where("vec_id % 100 = 0").join(e.withColumnRenamed("vec_id", "other"), "label").where("vec_id <> other")
+    rows = found.withColumn("k", F.row_number().over(Window.partitionBy("vec_id").orderBy("other"))).where("k <= 5").groupBy(F.col("vec_id").alias("question_id")).agg(F.sort_array(F.collect_list("other")).alias("pos"))
     rows.write.json(where)
     return spark.read.schema("question_id bigint, pos array<bigint>").json(where)
 

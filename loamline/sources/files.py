@@ -53,3 +53,25 @@ def read_zips(spark: SparkSession, path: str) -> DataFrame:
 
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path)
     return listed.select("path", "content").mapInArrow(run, "archive string, member string, content binary")
+
+
+def read_any(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """The table of the files below ``path``, which must be of one known format."""
+    found = one_format(discover(spark, path))
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.option("header", "true").csv(path) if found == "csv" else reader.load(path, format=found)
+
+
+def write_zips(members: DataFrame, path: str, name: str, content: str) -> list[tuple[str, int]]:
+    """One zip archive for each partition of (name, content)."""
+    from loamline.sources.blobs import write_blobs
+
+    def pack(number: int, rows: Iterator[dict]) -> Iterator[tuple[str, bytes]]:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for r in rows:
+                if r[content] is not None:
+                    z.writestr(r[name], r[content])
+        yield f"part-{number:05d}.zip", out.getvalue()
+
+    return write_blobs(members.select(name, content), path, pack)

@@ -178,3 +178,12 @@ def test_semantic_duplicates_block_by_block(spark):
     assert len(expected) == 28
     for size in (4_000, 7):
         assert {r["id"]: r["other"] for r in dedup.semantic_duplicates(df, "id", "v", "c", 0.01, size).collect()} == expected
+
+
+def test_recursive_chunks():
+    text = "One two three. " * 30 + "\n\n" + "x" * 95 + "\n" + "Four five. " * 20
+    made = T.recursive_chunks(text, 80, 20)
+    assert max(map(len, made)) <= 80 and "".join("".join(made).split()).startswith("Onetwothree.") and any("Four" in c for c in made)
+    assert sum(c.count("x") for c in made) >= 95
+    assert T.recursive_chunks("", 10, 2) == T.recursive_chunks("  ", 10, 2) == [] and T.recursive_chunks("short", 10, 2) == ["short"]
+    assert T.recursive_chunks("ab cd ef", 5, 3) == ["ab cd", "cd ef"]
