@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +56,23 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for a session, unless they find it where the driver does.
+
+    Functions that run in Python workers are found by name there, so the workers must be able to import them.
+    """
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parents[1]
+    known = {str(Path(p).resolve()) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    if str(root) in known or (sc.master.startswith("local") and not sc.master.startswith("local-cluster") and Path.cwd() == root):
+        return
+    if getattr(sc, "_loamline_sent", False):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="loamline-"), "loamline.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for file in sorted((root / "loamline").rglob("*.py")):
+            z.write(file, str(file.relative_to(root)))
+    sc.addPyFile(target)
+    sc._loamline_sent = True

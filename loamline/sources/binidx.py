@@ -21,16 +21,14 @@ import pyarrow.compute as pc
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from loamline.sources.blobs import mounted
+
 # The layout of an index.
 MAGIC = b"MMIDIDX\x00\x00"
 VERSION = 1
 CODES = {"int32": 4, "int64": 5, "uint16": 8}
 
 
-def _folder(path: str) -> str:
-    return path.removeprefix("file://").removeprefix("file:")
-
-
 def write_index(path: str, dtype: str, lengths: list[int]) -> None:
     sizes = np.array(lengths, np.int32)
     starts = np.zeros(len(sizes), np.int64)
@@ -68,7 +66,7 @@ class _Part(InputPartition):
 
 class _Writer(DataSourceArrowWriter):
     def __init__(self, schema: StructType, options: dict, overwrite: bool) -> None:
-        self.folder, self.dtype, self.overwrite = _folder(options["path"]), options.get("dtype", "int32"), overwrite
+        self.folder, self.dtype, self.overwrite = mounted(options["path"]), options.get("dtype", "int32"), overwrite
         if self.dtype not in CODES:
             raise ValueError(f"tokens can't be written as {self.dtype}")
         self.column = schema.fieldNames().index(options.get("column", schema.fieldNames()[-1]))
@@ -112,7 +110,7 @@ class _Writer(DataSourceArrowWriter):
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.folder, self.rows = _folder(options["path"]), int(options.get("rowsPerPartition", 100_000))
+        self.folder, self.rows = mounted(options["path"]), int(options.get("rowsPerPartition", 100_000))
         self.batch = 2_000
 
     def partitions(self) -> list[InputPartition]:

@@ -11,6 +11,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 
+def mounted(path: str) -> str:
+    """The path of a folder that is mounted on all machines; other file systems aren't written to by these formats."""
+    folder = path.removeprefix("file://").removeprefix("file:")
+    if "://" in folder:
+        raise ValueError(f"{path} is not in a mounted file system")
+    return folder
+
+
 def write_blobs(rows: DataFrame, path: str, pack: Callable[[int, Iterator[dict]], Iterator[tuple[str, bytes]]]) -> list[tuple[str, int]]:
     """Writes what ``pack(partition, rows)`` gives as files in a folder that all executors see.
 
@@ -18,7 +26,7 @@ def write_blobs(rows: DataFrame, path: str, pack: Callable[[int, Iterator[dict]]
     again, or twice at once, leaves whole files only. Gives (name, bytes) of the files, which are as
     many as there are partitions.
     """
-    folder = path.removeprefix("file://").removeprefix("file:")
+    folder = mounted(path)
     os.makedirs(folder, exist_ok=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -60,3 +60,25 @@ def test_archives_and_main_text():
     assert [(h["warc-type"], b) for h, b in warc.records(content * 2)] == [("response", body)] * 2
     with pytest.raises(ValueError):
         list(warc.records(b"nothing"))
+
+
+def test_only_mounted_folders():
+    from loamline.sources.blobs import mounted
+
+    assert mounted("file:///x/y") == mounted("file:/x/y") == mounted("/x/y") == "/x/y"
+    with pytest.raises(ValueError):
+        mounted("hdfs://host/x")
+
+
+def test_package_is_sent_where_workers_do_not_find_it(tmp_path, monkeypatch):
+    import zipfile
+    from types import SimpleNamespace
+
+    from loamline.session import ship
+
+    sent = []
+    context = SimpleNamespace(master="spark://host", addPyFile=sent.append)
+    monkeypatch.delenv("PYTHONPATH", raising=False)
+    for _ in range(2):
+        ship(SimpleNamespace(sparkContext=context))
+    assert len(sent) == 1 and "loamline/session.py" in zipfile.ZipFile(sent[0]).namelist()
