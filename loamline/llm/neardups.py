@@ -16,8 +16,8 @@ task, so no task holds more than two blocks. Each pair found is then held agains
 common runs.
 
 Records with the same set of runs form a class and enter the search once, so a text that fills a third
-of the corpus costs one record. Links run between class representatives; ``near_pairs`` expands them
-to records and ``near_groups`` gives each record the id of its group, by rounds of joins.
+of the corpus costs one record. Links run between class representatives; ``pairs`` expands them
+to records and ``groups`` gives each record the id of its group, by rounds of joins.
 
 Cases: null and blank texts and texts with fewer than ``min_runs`` different runs have no partner.
 Rows delivered twice count once. Texts of any length are used whole. An empty table gives an empty
