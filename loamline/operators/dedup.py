@@ -44,22 +44,30 @@ def _character_runs(text: str, width: int) -> np.ndarray:
     return np.unique(h)
 
 
-def _minima(runs: np.ndarray, n: int) -> np.ndarray:
-    """``n`` minimum hashes by one permutation: the smallest hash of each of ``n`` bins, an empty bin taking that of the
-    next full one together with its distance."""
-    bins = ((runs >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    starts = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]])  # sorted hashes have sorted bins
-    least[bins[starts].astype(np.int64)] = runs[starts]
-    full = np.zeros(n, bool)
-    full[bins[starts].astype(np.int64)] = True
-    where = np.flatnonzero(full)
-    nxt = where[np.searchsorted(where, np.arange(n)) % len(where)]
-    away = (nxt - np.arange(n)) % n
-    return least[nxt] + away.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+def _permutations(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factor and summand of ``n`` permutations of 32 bits."""
+    rng = np.random.default_rng(seed)
+    return rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
+
+
+def _minima(runs: np.ndarray, permutations: tuple[np.ndarray, np.ndarray], block: int = 1 << 15) -> np.ndarray:
+    """The minimum hash by each permutation, over all runs; the tables of a text of any length hold ``block`` hashes."""
+    factor, summand = (x[:, None] for x in permutations)
+    h = (runs >> np.uint64(32)).astype(np.uint32)
+    least = np.full(len(factor), np.iinfo(np.uint32).max, np.uint32)
+    for start in range(0, len(h), block):
+        part = h[start : start + block]
+        step = max(1, block // len(part))
+        for at in range(0, len(factor), step):
+            x = factor[at : at + step] * part
+            x += summand[at : at + step]
+            np.minimum(least[at : at + step], x.min(axis=1), out=least[at : at + step])
+    return least
 
 
 def _minhash(width: int, bands: int, rows: int, seed: int):
+    permutations = _permutations(bands * rows, seed)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -68,7 +76,7 @@ def _minhash(width: int, bands: int, rows: int, seed: int):
             for i, t in enumerate(b.column(1).to_pylist()):
                 runs = _character_runs(t or "", width)
                 if len(runs):
-                    least = _minima(runs, bands * rows)
+                    least = _minima(runs, permutations)
                     own = [xxhash.xxh64_intdigest(least[k * rows : (k + 1) * rows].tobytes(), seed + k) for k in range(bands)]
                     owner += [i] * bands
                     bucket.append(np.array(own, np.uint64).view(np.int64))
