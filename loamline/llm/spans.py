@@ -159,9 +159,11 @@ def _common(a: str, b: str, i: int, j: int) -> tuple[int, int, int]:
 
 def shared_spans(a: str, b: str, coordinates: list[tuple[int, int]], often: bool, min_chars: int) -> list[tuple[int, int, int]]:
     found: set[tuple[int, int, int]] = set()
+    upto: dict[int, int] = {}  # the end in ``a`` of the last span of each diagonal
     for i, j in sorted(coordinates):
-        if not any(s - t == i - j and s <= i < s + n for s, t, n in found):
-            found.add(_common(a, b, i, j))
+        if i >= upto.get(i - j, 0):
+            found.add(x := _common(a, b, i, j))
+            upto[i - j] = x[0] + x[2]
     found = {x for x in found if x[2] >= min_chars}
     if often:  # a k-mer comes again within a text: other places may go together too
         windows: dict[str, int] = {}
@@ -263,10 +265,8 @@ class SharedSpans:
         a = heads.select("h", F.col("rep").alias("x"), F.col("off").alias("ox"), F.col("n").alias("nx"))
         b = heads.select("h", F.col("rep").alias("y"), F.col("off").alias("oy"), F.col("n").alias("ny"))
         met = a.join(b, "h").where("x < y")
-        lined = met.groupBy("x", "y", (F.col("ox") - F.col("oy")).alias("diagonal")).agg(F.min("ox").alias("ox"), F.max("ox").alias("ox2"), F.max(F.col("nx") + F.col("ny") > 2).alias("often"))
-        pairs = lined.groupBy("x", "y").agg(
-            F.flatten(F.collect_list(F.array(*(F.struct(F.col(c).alias("x"), (F.col(c) - F.col("diagonal")).alias("y")) for c in ("ox", "ox2"))))).alias("at"), F.max("often").alias("often")
-        )
+        # All places where two records meet: no more than the heads of a text. Each may lie in a span of its own.
+        pairs = met.groupBy("x", "y").agg(F.collect_list(F.struct(F.col("ox").alias("x"), F.col("oy").alias("y"))).alias("at"), F.max(F.col("nx") + F.col("ny") > 2).alias("often"))
         both = pairs.join(self.texts.select(F.col("rep").alias("x"), F.col("text").alias("tx")), "x").join(self.texts.select(F.col("rep").alias("y"), F.col("text").alias("ty")), "y")
         return both.select("x", "y", "at", "often", "tx", "ty").mapInArrow(_verify(self.min_chars), f"x {self.kind}, y {self.kind}, start_x int, start_y int, chars int")
 

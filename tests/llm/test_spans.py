@@ -57,6 +57,15 @@ def test_text_that_repeats_itself(spark):
     assert SharedSpans(frame(spark, [(1, a)])).pairs().count() == 0
 
 
+@pytest.mark.parametrize("lengths", [(300, 500, 300), (300, 300, 450, 300, 300)])
+def test_long_stretch_between_short_ones_of_a_diagonal(spark, lengths):
+    rng = random.Random(7)
+    parts = ["".join(rng.choice("abcdefghij  ,.") for _ in range(n)) for n in lengths]
+    docs = [(1, "0".join(parts)), (2, "1".join(parts))]
+    assert brute(docs, 400) == {(1, 2)}
+    assert [tuple(x) for x in SharedSpans(frame(spark, docs)).pairs().collect()] == [(1, 2)]
+
+
 def test_shares(spark):
     rng = random.Random(3)
     part = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
