@@ -98,6 +98,18 @@ def scan12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("warc_id", "url", warc.main_text("html").alias("text"))
 
 
+@add("scan12_all_pages")
+def scan12_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a url, as a page; one without text is an empty page. No SQL says what its main text is."""
+    docs = load(spark, sf_dir, "documents").where("url IS NOT NULL")
+    said = F.coalesce("text", F.lit(""))
+    for mark, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        said = F.replace(said, F.lit(mark), F.lit(entity))
+    where = scratch(spark)
+    warc.write_pages(docs.select("warc_id", "url", F.concat(F.lit("<html><head><title>t</title><script>var a;</script></head><body><p>"), said, F.lit("</p></body></html>")).alias("html")), where)
+    return warc.read_pages(spark, where).select("warc_id", "url", warc.main_text("html").alias("text"))
+
+
 @add("scan13_blocks_of_files", """SELECT record_id, CAST(floor((sum(size) OVER (PARTITION BY part ORDER BY record_id ROWS UNBOUNDED PRECEDING) - size) / 100000) AS BIGINT) AS block FROM
 (SELECT record_id, coalesce(path, '') || '#' || coalesce(subset, '') AS part, greatest(coalesce(max(n_tokens), 0), 0) AS size FROM source_records GROUP BY 1, 2)""")
 def scan13(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import re
 import struct
 import zipfile
 
@@ -62,6 +63,30 @@ def test_archives_and_main_text():
         list(warc.records(b"nothing"))
 
 
+def test_main_text_of_lines_entities_markup_and_scripts(spark, tmp_path):
+    page = (
+        "<html><body><p>First line\nsecond &amp; third &lt;b&gt; caf&eacute;, long enough.</p><h1>短い。</h1><p>Это достаточно длинный русский абзац</p>"
+        "<p>これは<b>太字</b>を含む段落です。</p><p>one<br>two lines of prose, long enough here</p><p>x</p></body></html>"
+    )
+    warc.write_pages(spark.createDataFrame([("w", "http://u", page)], "warc_id string, url string, html string"), str(tmp_path))
+    got = warc.read_pages(spark, str(tmp_path)).select("warc_id", "url", warc.main_text("html").alias("text")).collect()
+    text = "First line second & third <b> café, long enough.\n短い。\nЭто достаточно длинный русский абзац\nこれは太字を含む段落です。\ntwo lines of prose, long enough here"
+    assert [tuple(r) for r in got] == [("w", "http://u", text)]
+
+
+def test_every_document_with_a_url_is_a_page(spark, sf):
+    from loamline.plans import q_scans
+
+    def said(text):
+        text = re.sub(r"\s+", " ", text or "").strip()
+        return text if len(text) >= 25 or text[-1:] and text[-1] in ".!?。！？" else ""
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("url IS NOT NULL").collect()
+    got = sorted(tuple(r) for r in q_scans.registry.queries["scan12_all_pages"](spark, sf).collect())
+    assert got == sorted((d["warc_id"], d["url"], said(d["text"])) for d in docs)
+    assert any("<" in t or "&" in t for *_, t in got) and any(not t.isascii() for *_, t in got)
+
+
 def test_only_mounted_folders():
     from loamline.sources.blobs import mounted
 
