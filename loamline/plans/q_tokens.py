@@ -61,6 +61,12 @@ def tok04(spark, sf_dir):
     return C.render(rows, "row_id", "messages").select("row_id", F.array_join(F.transform("chunks", lambda c: c["text"]), "").alias("said"))
 
 
+@add("tok04_all_chats")
+def tok04_all(spark, sf_dir):
+    """Conversations in all scripts. Answers lose the blanks of Unicode at their ends, which SQL's patterns don't know."""
+    return C.render(_chats(spark, sf_dir), "row_id", "messages").select("row_id", F.array_join(F.transform("chunks", lambda c: c["text"]), "").alias("said"))
+
+
 @add("tok05_last_user_end", f"SELECT row_id, length('<|im_start|>system' || chr(10) || coalesce(persona, '') || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || user_query || '<|im_end|>' || chr(10)) AS n FROM {SFT} t WHERE user_query IS NOT NULL AND assistant_response IS NOT NULL")
 def tok05(spark, sf_dir):
     made = C.render(_chats(spark, sf_dir), "row_id", "messages")

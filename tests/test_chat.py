@@ -38,3 +38,17 @@ def test_tools_calls_and_answers():
 def test_null_and_empty_conversations(spark):
     df = spark.createDataFrame([(1, None), (2, [])], "id int, messages array<struct<role:string,content:string>>")
     assert render(df, "id", "messages").count() == 0
+
+
+def test_every_conversation_is_rendered(spark, sf):
+    from loamline.plans import q_tokens
+
+    def said(r):
+        answer = r["assistant_response"]
+        answer = answer if "<think>" in answer or "</think>" in answer else "<think></think>" + answer
+        return f"<|im_start|>system\n{r['persona'] or ''}<|im_end|>\n<|im_start|>user\n{r['user_query']}<|im_end|>\n<|im_start|>assistant\n{answer.strip()}<|im_end|>\n"
+
+    rows = spark.read.parquet(f"{sf}/sft_default.parquet").where("user_query IS NOT NULL AND assistant_response IS NOT NULL").select("row_id", "persona", "topic", "user_query", "assistant_response").distinct().collect()
+    got = sorted(tuple(r) for r in q_tokens.registry.queries["tok04_all_chats"](spark, sf).collect())
+    assert got == sorted((r["row_id"], said(r)) for r in rows)
+    assert any(not r["assistant_response"].isascii() for r in rows)
