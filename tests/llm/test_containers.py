@@ -68,6 +68,21 @@ def test_very_long_texts():
     assert count_tokens(" " * 1_000_000, enc) > 0
     assert count_tokens("ab " * 300_000, enc) >= 300_000
     assert count_tokens("a" * 50_000, enc) > 0
+    # The count doesn't depend on what stands around a run of blanks.
+    assert count_tokens("one" + " " * 2_000_000 + "two", enc) == count_tokens("one", enc) + 200 * count_tokens(" " * 10_000, enc) + count_tokens("two", enc)
+
+
+def test_other_scripts_are_not_inflated():
+    russian = "Проверьте настройки маршрутизатора и перезапустите устройство, прежде чем обращаться в поддержку. " * 20
+    assert count_tokens(russian, encoder(VOCABULARY)) < 0.4 * len(russian)
+
+
+def test_fill_is_near_the_bound():
+    rng = random.Random(4)
+    for sizes in ([rng.randint(1, 9000) for _ in range(3000)], [rng.randint(1, 1300) for _ in range(3000)], [rng.randint(1500, 2500) for _ in range(3000)]):
+        bins = check(sizes, 4096)
+        least = max(-(-sum(sizes) // 4096), sum(n > 2048 for n in sizes), -(-sum(n * 3 > 4096 for n in sizes) // 2))
+        assert len(bins) <= 1.02 * least + 2
 
 
 def test_capacity_must_be_positive(spark):
