@@ -2,8 +2,8 @@
 
 Language-bitmask n-gram filters: one bit-sliced Bloom filter holds, for every n-gram (four characters of
 a word with its ends, short words whole, pairs of characters where no blanks are written), the set of
-languages that it occurs in. A slot of the filter is a bitmask with one bit for each language; the
-masks in an n-gram's slots are and-ed, so that one look-up gives all its languages. A word's score for
+languages that it occurs in. A slot of the filter is a bitmask with one bit for each language, of as
+many bytes as the languages need; the masks in an n-gram's slots are and-ed, so that one look-up gives all its languages. A word's score for
 a language is the share of its n-grams that have the language's bit, less what the filter's fill
 lets expect by chance, each n-gram shared out among its languages.
 
@@ -16,6 +16,9 @@ stretch speaks against its main language, that language stands for the whole tex
 most likely sequence of languages is found with a price on every change, and gives the segments. A
 language belongs to a text if one of its segments has ``min_units`` units.
 
+A stretch counts by itself, however long the text around it is; text in a language that the table
+doesn't know belongs to none.
+
 Cases: null, blank and near-blank texts (no stretch of ``min_units``) have no language and no segment.
 Texts of any length are read whole. Labels are compared without case, outer blanks and region, as
 two-letter code, three-letter code or English name; any other label names no language. Tables without
@@ -45,6 +48,8 @@ FIRST_SHARE = 0.7
 OWN_SHARE = 0.2
 HASHES = 3
 PRICE = 6.0
+STRETCH = 16
+MOST_LANGUAGES = 10_000
 
 _WIDE = "぀-ヿ㐀-䶿一-鿿豈-﫿々〆"
 _UNIT = re.compile(f"[{_WIDE}]+|[^\\W_{_WIDE}]+")
@@ -85,21 +90,25 @@ def _hashes(listed: list[str]) -> np.ndarray:
 class Filter:
     """A Bloom filter with a bitmask of languages in each slot."""
 
-    def __init__(self, hashes: np.ndarray, masks: np.ndarray, n_languages: int) -> None:
+    def __init__(self, hashes: np.ndarray, spoken: np.ndarray, n_languages: int) -> None:
+        """``spoken`` has a row for each n-gram and a column for each language."""
+        self.n_languages = n_languages
         self.bits = max(12, int(np.ceil(np.log2(max(1, len(hashes)) * 12))))
-        self.slots = np.zeros(1 << self.bits, np.uint32)
+        # A mask has as many bits as there are languages, in whole bytes.
+        masks = np.packbits(spoken.reshape(len(hashes), n_languages), axis=1, bitorder="little")
+        self.slots = np.zeros((1 << self.bits, masks.shape[1]), np.uint8)
         for at in self._places(hashes).T:
             np.bitwise_or.at(self.slots, at, masks)
-        fill = [float(np.mean(self.slots >> np.uint32(k) & np.uint32(1))) for k in range(n_languages)]
         #: How often an n-gram seems to be of a language by chance.
-        self.chance = np.array(fill) ** HASHES
+        self.chance = np.unpackbits(self.slots, axis=1, count=n_languages, bitorder="little").mean(axis=0) ** HASHES if n_languages else np.zeros(0)
 
     def _places(self, hashes: np.ndarray) -> np.ndarray:
         step = (hashes >> np.uint64(32)) | np.uint64(1)
         return np.stack([((hashes + np.uint64(k) * step) & np.uint64((1 << self.bits) - 1)).astype(np.int64) for k in range(HASHES)], axis=1)
 
-    def masks(self, hashes: np.ndarray) -> np.ndarray:
-        return np.bitwise_and.reduce(self.slots[self._places(hashes)], axis=1)
+    def spoken(self, hashes: np.ndarray) -> np.ndarray:
+        """For each n-gram (rows) the languages (columns) that the slots give it."""
+        return np.unpackbits(np.bitwise_and.reduce(self.slots[self._places(hashes)], axis=1), axis=1, count=self.n_languages, bitorder="little")
 
 
 class Scorer:
@@ -131,8 +140,7 @@ class Scorer:
                 self.weights = np.concatenate([self.weights, np.zeros_like(self.weights)])
             listed_grams = [grams(u) for u in new]
             counts = np.array([len(g) for g in listed_grams])
-            masks = self.filter.masks(_hashes([g for gs in listed_grams for g in gs])) if counts.sum() else np.zeros(0, np.uint32)
-            bits = (masks[:, None] >> np.arange(len(self.codes), dtype=np.uint32) & np.uint32(1)).astype(np.float32)
+            bits = self.filter.spoken(_hashes([g for gs in listed_grams for g in gs])).astype(np.float32)
             bits /= np.maximum(bits.sum(axis=1, keepdims=True), 1)
             row = np.repeat(np.arange(len(new)), counts)
             sums = np.zeros((len(new), len(self.codes)), np.float32)
@@ -143,11 +151,27 @@ class Scorer:
             self.weights[start : len(ids)] = [0.5 if _HAS_WIDE.match(u) else 1.0 for u in new]
         return np.fromiter(map(ids.__getitem__, listed), np.int64, len(listed))
 
-    def segments(self, text: str, at: np.ndarray, min_units: float) -> list[tuple[int, float, int, int, float]]:
+    @staticmethod
+    def _spans(text: str, n: int) -> list[tuple[int, int]]:
+        spans = [m.span() for m in _UNIT.finditer(text)]
+        if len(spans) != n:  # characters of runs without blanks
+            spans = [(i, i + 1) if _HAS_WIDE.match(text[s]) else (s, e) for s, e in spans for i in (range(s, e) if _HAS_WIDE.match(text[s]) else [s])]
+        return spans
+
+    def segments(self, text: str, at: np.ndarray, min_units: float, unknown: bool = False) -> list[tuple[int, float, int, int, float]]:
         """(language, confidence, start, end, units) along a text that may be mixed."""
         scores, weights = self.table[at], self.weights[at]
-        likely = np.flatnonzero(scores.sum(axis=0) >= 0.02 * scores.sum())
+        # A language is likely if it leads, or nearly, over any stretch of the text, however long the rest is.
+        sums = np.r_[np.zeros((1, len(self.codes))), np.cumsum(scores * weights[:, None], axis=0, dtype=np.float64)]
+        stretch = sums[np.minimum(np.arange(len(at)) + STRETCH, len(at))] - sums[:-1]
+        likely = np.flatnonzero((stretch >= np.maximum(0.6 * stretch.max(axis=1, keepdims=True), 0.5)).any(axis=0))
+        if not len(likely):
+            return []
         says = np.where(scores.sum(axis=1, keepdims=True) > 0.05, np.log(0.04 + scores[:, likely]), 0.0) * weights[:, None]
+        if unknown:  # most of the text is in no language of the table: a state of its own takes these stretches
+            counted = np.fromiter((not _number(text[a:b]) for a, b in self._spans(text, len(at))), bool, len(at))
+            says = np.where(counted[:, None], np.log(0.04 + scores[:, likely]), 0.0) * weights[:, None]
+            says = np.concatenate([says, np.where(counted, np.log(0.2), 0.0)[:, None] * weights[:, None]], axis=1)
         n, k = says.shape
         best = says[0].copy()
         back = np.empty((n, k), np.int16)
@@ -162,17 +186,15 @@ class Scorer:
         for i in range(n - 1, 0, -1):
             path[i - 1] = back[i, path[i]]
         cuts = np.flatnonzero(np.r_[True, path[1:] != path[:-1], True])
-        spans = [m.span() for m in _UNIT.finditer(text)]
-        if len(spans) != n:  # characters of runs without blanks
-            spans = [(i, i + 1) if _HAS_WIDE.match(text[s]) else (s, e) for s, e in spans for i in (range(s, e) if _HAS_WIDE.match(text[s]) else [s])]
+        spans = self._spans(text, n)
         out = []
         for s, e in zip(cuts[:-1], cuts[1:]):
             speaks = scores[s:e].sum(axis=1) > 0.05
             size = float(weights[s:e].sum())
-            if size >= min_units and speaks.any():
+            if path[s] < len(likely) and size >= min_units and speaks.any():
                 code = int(likely[path[s]])
                 own = scores[s:e][speaks]
-                rival = np.delete(own.sum(axis=0), code).max()
+                rival = np.delete(own.sum(axis=0), code).max(initial=0.0)
                 out.append((code, float(own[:, code].sum() / (own[:, code].sum() + rival)), spans[s][0], spans[min(e, len(spans)) - 1][1], size))
         return out
 
@@ -202,16 +224,16 @@ class Scorer:
         own = scores[np.arange(len(at)), main[doc]]
         against = (scores.max(axis=1) > own + 0.35) * weights
         ran = np.r_[0.0, np.cumsum(against, dtype=np.float64)]
-        wide = 16
-        ahead = np.minimum(np.arange(len(at)) + wide, ends[doc])
+        ahead = np.minimum(np.arange(len(at)) + STRETCH, ends[doc])
         dense = np.maximum.reduceat(ran[ahead] - ran[:-1], starts)
         for j, i in enumerate(some):
             a, b = starts[j], ends[j]
             all_ = float(total[j].sum())
-            if not all_ or float(total[j].sum()) < 0.25 * size[j]:
+            if not all_ or all_ < 0.25 * size[j]:
+                out[i] = self.segments(texts[i], at[a:b], min_units, unknown=True)
                 continue
             share = float(total[j, main[j]]) / all_
-            rival = float(np.delete(total[j], main[j]).max())
+            rival = float(np.delete(total[j], main[j]).max(initial=0.0))
             if dense[j] < 5.0 and share > 0.4:
                 if size[j] >= min_units:
                     out[i] = [(int(main[j]), float(total[j, main[j]]) / (float(total[j, main[j]]) + rival), 0, len(texts[i]), float(size[j]))]
@@ -220,10 +242,22 @@ class Scorer:
         return out
 
 
+def _number(unit: str) -> bool:
+    return unit.isdigit()
+
+
+def _table(codes: DataFrame) -> list:
+    """The rows of the table of languages; more than there are languages in the world are an error."""
+    rows = codes.select("code", "iso3", "english_name").limit(MOST_LANGUAGES + 1).collect()
+    if len(rows) > MOST_LANGUAGES:
+        raise ValueError(f"a table of languages has at most {MOST_LANGUAGES} rows")
+    return rows
+
+
 def named(label: Column, codes: DataFrame) -> Column:
     """The code that a label names, or null. ``codes`` is the small fixed table of languages."""
     pairs = {}
-    for r in codes.select("code", "iso3", "english_name").limit(10_000).collect():
+    for r in _table(codes):
         pairs |= {str(x).strip().lower(): r["code"] for x in r if x}
     if not pairs:
         return F.lit(None).cast("string")
@@ -238,11 +272,11 @@ def fit(docs: DataFrame, codes: DataFrame, key: str = "doc_id", text: str = "tex
     Labels may be wrong more often than right for a rare language. A first, strict filter reads the
     chosen documents again; the second one is fitted on those in one language, as it was read.
     """
-    listed = sorted(r["code"] for r in codes.select("code").where("code IS NOT NULL").distinct().limit(31).collect())
+    listed = sorted({r["code"] for r in _table(codes) if r["code"] is not None})
     said = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), named(F.col(label), codes).alias("code")).where("code IS NOT NULL AND text IS NOT NULL")
     counts = {r["code"]: r["n"] for r in said.groupBy("code").agg(F.count("*").alias("n")).collect()}
     if not counts:
-        return listed, Filter(np.zeros(0, np.uint64), np.zeros(0, np.uint32), len(listed))
+        return listed, Filter(np.zeros(0, np.uint64), np.zeros((0, len(listed)), bool), len(listed))
     part = F.create_map(*[x for c, n in counts.items() for x in (F.lit(c), F.lit(min(1.0, train_docs / n)))])
     chosen = cut(spread(said).where(F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1_000_000)) < F.try_element_at(part, F.col("code")) * 1_000_000))
     first = listed, _filter(chosen, listed, first_share)
@@ -256,23 +290,26 @@ def _filter(chosen: DataFrame, listed: list[str], own_share: float) -> Filter:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own, found = [np.zeros(0, np.int8)], [np.zeros(0, np.int64)]
+            own, found = [np.zeros(0, np.int16)], [np.zeros(0, np.int64)]
             for t, c in zip(*(x.to_pylist() for x in b.columns)):
                 h = np.unique(_hashes([g for u in set(units(t)) for g in grams(u)])).view(np.int64)
                 found.append(h)
-                own.append(np.full(len(h), number[c], np.int8))
+                own.append(np.full(len(h), number[c], np.int16))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own)), pa.array(np.concatenate(found))], names=["k", "gram"])
 
     n = {r["code"]: r["n"] for r in chosen.groupBy("code").agg(F.count("*").alias("n")).collect()}
     if not n:
-        return Filter(np.zeros(0, np.uint64), np.zeros(0, np.uint32), len(listed))
+        return Filter(np.zeros(0, np.uint64), np.zeros((0, len(listed)), bool), len(listed))
     per = F.create_map(*[x for c, m in n.items() for x in (F.lit(number[c]), F.lit(float(m)))])
-    seen = chosen.select("text", "code").mapInArrow(run, "k tinyint, gram bigint").groupBy("gram", "k").agg(F.count("*").alias("n"))
+    seen = chosen.select("text", "code").mapInArrow(run, "k smallint, gram bigint").groupBy("gram", "k").agg(F.count("*").alias("n"))
     shares = seen.where("n > 1").groupBy("gram").agg(F.collect_list(F.struct(F.col("k").cast("int").alias("k"), (F.col("n") / F.try_element_at(per, F.col("k").cast("int"))).alias("share"))).alias("of"))
     top = F.aggregate("of", F.lit(0.0), lambda a, x: F.greatest(a, x["share"]))
-    mask = F.aggregate(F.filter("of", lambda x: x["share"] >= own_share * F.col("top")), F.lit(0), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", F.lit(1), x["k"])))
-    rows = shares.withColumn("top", top).select("gram", mask.alias("mask")).toArrow()  # of the size that train_docs bounds
-    return Filter(rows.column("gram").to_numpy().view(np.uint64), rows.column("mask").to_numpy().astype(np.uint32), len(listed))
+    own = F.transform(F.filter("of", lambda x: x["share"] >= own_share * F.col("top")), lambda x: x["k"])
+    rows = shares.withColumn("top", top).select("gram", own.alias("own")).toArrow()  # of the size that train_docs bounds
+    spoken = np.zeros((rows.num_rows, len(listed)), bool)
+    lists = rows.column("own").combine_chunks()
+    spoken[np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
+    return Filter(rows.column("gram").to_numpy().view(np.uint64), spoken, len(listed))
 
 
 def segments(docs: DataFrame, model: tuple[list[str], Filter], key: str = "doc_id", text: str = "text", min_units: float = MIN_UNITS, keep: tuple[str, ...] = ()) -> DataFrame:

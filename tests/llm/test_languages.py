@@ -70,18 +70,50 @@ def test_a_very_long_text(frames):
     assert sorted(x["lang"] for x in segments(long, fit(docs, codes)).collect()) == ["de", "en"]
 
 
-def test_filter_holds_what_was_put_in():
+@pytest.mark.parametrize("n", [4, 40, 150])
+def test_filter_holds_what_was_put_in(n):
     rng = np.random.default_rng(1)
-    h, masks = rng.integers(0, 1 << 63, 5000).astype(np.uint64), rng.integers(1, 16, 5000).astype(np.uint32)
-    f = Filter(h, masks, 4)
-    assert ((f.masks(h) & masks) == masks).all()
-    other = f.masks(rng.integers(0, 1 << 63, 20_000).astype(np.uint64))
-    for k in range(4):
-        assert abs(np.mean(other >> np.uint32(k) & 1) - f.chance[k]) < 0.01
+    h, spoken = rng.integers(0, 1 << 63, 5000).astype(np.uint64), rng.random((5000, n)) < 2 / n
+    f = Filter(h, spoken, n)
+    assert f.spoken(h)[spoken].all()
+    other = f.spoken(rng.integers(0, 1 << 63, 20_000).astype(np.uint64)).mean(axis=0)
+    assert other.shape == (n,) and abs(other - f.chance).max() < 0.01
+
+
+def test_a_short_stretch_in_a_very_long_text(frames):
+    docs, codes = frames
+    german = " ".join(text(DE, 0).split()[:30])
+    long = docs.sparkSession.createDataFrame([(1, text(EN, 0) * 2500 + " " + german + " " + text(EN, 1) * 2500)], "doc_id bigint, text string")
+    assert sorted({x["lang"] for x in segments(long, fit(docs, codes)).collect()}) == ["de", "en"]
+
+
+def test_text_in_an_unknown_language(frames):
+    docs, codes = frames
+    korean = "기록 보관소의 관리인은 오래된 장부를 베껴서 정오 전에 새 종이를 선반에 다시 올려놓았다 그는 아무 말도 하지 않았다 "
+    some = docs.sparkSession.createDataFrame([(1, korean * 20), (2, korean * 20 + text(EN, 0) + " " + korean * 20), (3, korean * 20 + "the old ledger " + korean * 20)], "doc_id bigint, text string")
+    assert sorted((x["doc_id"], x["lang"]) for x in segments(some, fit(docs, codes)).collect()) == [(2, "en")]
+
+
+def test_forty_languages(spark):
+    import random
+
+    rng = random.Random(5)
+    vocab = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8))) for _ in range(60)] for _ in range(40)]
+    said = lambda k: " ".join(rng.choices(vocab[k], k=60))
+    codes = spark.createDataFrame([(f"l{k:02d}", f"lan{k:02d}", f"Language {k}") for k in range(40)], "code string, iso3 string, english_name string")
+    docs = spark.createDataFrame([(100 * k + j, said(k), f"l{k:02d}") for k in range(40) for j in range(6)], "doc_id bigint, text string, lang string")
+    found = {x["doc_id"]: x["lang"] for x in languages(docs, codes).collect()}
+    assert found == {100 * k + j: f"l{k:02d}" for k in range(40) for j in range(6)}
+
+
+def test_too_long_a_table_is_an_error(spark, frames):
+    many = spark.range(10_001).selectExpr("concat('c', id) AS code", "concat('d', id) AS iso3", "concat('e', id) AS english_name")
+    with pytest.raises(ValueError):
+        fit(frames[0], many)
 
 
 def test_units_and_grams():
     assert units("The Cat 12") == ["the", "cat", "12"] and units("日本 x") == ["日本", "本", "x"]
     assert grams("12") == [] and grams("of") == ["^of$"] and grams("cats") == ["^cat", "cats", "ats$"]
-    s = Scorer(["en"], Filter(_hashes(["^of$"]), np.array([1], np.uint32), 1))
+    s = Scorer(["en"], Filter(_hashes(["^of$"]), np.array([[True]]), 1))
     assert s.table[s.look_up(["of"])[0], 0] > 0.9
