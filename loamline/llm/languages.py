@@ -198,6 +198,23 @@ class Scorer:
                 out.append((code, float(own[:, code].sum() / (own[:, code].sum() + rival)), spans[s][0], spans[min(e, len(spans)) - 1][1], size))
         return out
 
+    def likelihoods(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For whole texts: the log-likelihood of each language (columns), the mean score of a unit and the units that aren't numbers."""
+        listed = [[u for u in units(t) if not _number(u)] for t in texts]
+        sizes = np.array([len(u) for u in listed], np.int64)
+        says = np.zeros((len(texts), len(self.codes)))
+        mean, weight = np.zeros(len(texts)), np.zeros(len(texts))
+        some = np.flatnonzero(sizes)
+        if len(some) and self.codes:
+            at = self.look_up([u for us in listed for u in us])
+            scores, weights = self.table[at], self.weights[at]
+            starts = (np.cumsum(sizes) - sizes)[some]
+            total = scores.sum(axis=1)
+            says[some] = np.add.reduceat(np.log(0.04 + scores) * (weights * (total > 0.05))[:, None], starts)
+            weight[some] = np.add.reduceat(weights, starts)
+            mean[some] = np.add.reduceat(total * weights, starts) / weight[some]
+        return says, mean, weight
+
     def read(self, texts: list[str | None], min_units: float) -> list[list[tuple[int, float, int, int, float]]]:
         """The segments of each text."""
         out: list[list[tuple[int, float, int, int, float]]] = [[] for _ in texts]
@@ -312,16 +329,26 @@ def _filter(chosen: DataFrame, listed: list[str], own_share: float) -> Filter:
     return Filter(rows.column("gram").to_numpy().view(np.uint64), spoken, len(listed))
 
 
+def shared(spark: SparkSession, model: tuple[list[str], Filter]):
+    """The model on all executors; its size is bounded by train_docs."""
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, *model))
+
+
+def scorer_of(held) -> Scorer:
+    """The scorer of a shared model, made once in a process."""
+    name, codes, filter_ = held.value
+    if name not in _held:
+        _held.clear()
+        _held[name] = Scorer(codes, filter_)
+    return _held[name]
+
+
 def segments(docs: DataFrame, model: tuple[list[str], Filter], key: str = "doc_id", text: str = "text", min_units: float = MIN_UNITS, keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, *keep, lang, confidence, start, end, units): the segments of each text; one for a text in one language."""
-    held = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, *model))  # of the size that train_docs bounds
+    held = shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, codes, filter_ = held.value
-        if name not in _held:
-            _held.clear()
-            _held[name] = Scorer(codes, filter_)
-        scorer = _held[name]
+        scorer, codes = scorer_of(held), held.value[1]
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
