@@ -7,23 +7,23 @@ The records' token k-mers are the edges of a De Bruijn graph that is kept sparse
   16 characters around it, so two records agree on the tokens of a shared span but for 16 characters
   at either end.
 * The k-mer at a token is the shortest sequence of tokens from there that covers ``kmer_chars``
-  characters. Of every ``window`` k-mers in a row the one with the smallest hash is kept. A span of
-  ``min_chars`` holds more than ``window`` whole k-mers, so two records that share one keep at least one
-  k-mer in common: no shared span is lost.
-* An edge runs from each kept k-mer to the next one of the record. A k-mer that occurs in one record
-  only is dropped. A path on which every occurrence of a k-mer has the same successor, and every
-  occurrence of that one the same predecessor, is compacted by joining k-mers with their neighbours,
-  and only its head goes on; ``paths`` also gives the paths, by pointer jumping.
-* Records that meet at a head are candidates. The coordinates of the head in both source texts are
-  extended to both sides over the texts themselves; a span counts from ``min_chars`` characters on.
-
-Records with the same text are one class and enter the graph once. Only classes that meet at a head are
-paired, through an equi-join that adaptive execution splits where one head is hot.
+  characters. For every token the k-mer with the smallest hash is kept among those that start in the
+  ``window`` characters from there. A span of ``min_chars`` holds a token whose window and k-mers lie within the
+  agreed part, so two records that share one keep at least one k-mer in common: no shared span is lost.
+* An edge runs from each kept k-mer to the next one of the record, which starts before the first one ends or where it
+  ends. A k-mer that occurs in one record only is dropped. A path on which every occurrence of a k-mer has the
+  same successor at the same distance, and every occurrence of that one the same predecessor, is compacted by
+  joining k-mers with their neighbours, and only its head goes on; ``paths`` also gives the paths, by pointer jumping.
+* Records that meet at a head are candidates. ``min_chars`` less the k-mer on either side of the head settle
+  whether a span around it is long enough, so only this window of each text is carried along and compared.
+
+Texts are never shuffled: k-mers are taken from them where they are read, and windows are cut out of them by a
+join with the heads' places. Records with the same text are one class and enter the graph once. Only classes
+that meet at a head are paired, through an equi-join that adaptive execution splits where one head is hot.
 
 Cases: null texts and texts shorter than ``min_chars`` share nothing. Rows delivered twice count once.
-A passage that occurs twice in one record only is no case. If a head occurs more than once in a record,
-pairs that its first coordinates don't settle are decided by comparing all windows of ``min_chars``
-characters. An empty table gives an empty result.
+A passage that occurs twice in one record only is no case. Each place of a k-mer in a record counts, places with the
+same window once. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,9 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loamline.llm.common import once
 from loamline.registry import Registry
-from loamline.session import cut
+from loamline.session import cut, spread
 from loamline.tables import load
 
 registry = Registry()
@@ -71,49 +70,85 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def starts_of_tokens(codes: np.ndarray) -> np.ndarray:
+def starts_of_tokens(codes: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Where tokens start in texts laid end to end; ``starts`` are the places where a text starts."""
     word = _is_word()[np.minimum(codes, 0x10FFFF)]
-    edge = np.flatnonzero(np.r_[True, word[1:] != word[:-1], True])
+    border = np.r_[True, word[1:] != word[:-1], True]
+    if starts is not None:
+        border[starts] = True
+    edge = np.flatnonzero(border)
     length = np.repeat(np.diff(edge), np.diff(edge))
     start = ~word | (length > RUN_CHARS)
     start[edge[:-1]] = True
     return np.flatnonzero(start)
 
 
-def kmers(text: str, kmer_chars: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(offset, hash) of the k-mers that are kept of a text."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    starts = starts_of_tokens(codes)
+def _hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    up, down = _powers(len(codes))
+    sums = np.r_[np.zeros(1, np.uint64), np.cumsum(_mix(codes.astype(np.uint64) + np.uint64(1)) * up)]
+    return _mix((sums[ends] - sums[starts]) * down[starts])
+
+
+def _least(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The place of the smallest of the ``counts[i]`` values from each i on, the first of equal ones."""
+    best = np.arange(len(h))
+    out = best.copy()
+    level = np.int64(np.log2(counts))
+    for k in range(int(level.max()) + 1):
+        at = np.flatnonzero(level == k)
+        a, b = best[at], best[at + counts[at] - (1 << k)]
+        out[at] = np.where(h[b] < h[a], b, a)
+        a, b = best[: -(1 << k)], best[1 << k :]
+        best = np.where(h[b] < h[a], b, a)
+    return out
+
+
+def kmers(texts: list[str], kmer_chars: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, offset, hash) of the k-mers that are kept of each of a few texts."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    none = np.zeros(0, np.int64)
+    if not len(codes):
+        return none, none, none.astype(np.uint64)
+    until = np.cumsum([len(t) for t in texts])
+    begin = np.r_[0, until[:-1]]
+    starts = starts_of_tokens(codes, begin[begin < len(codes)])
     ends = np.r_[starts[1:], len(codes)]
+    row = np.searchsorted(until, starts, "right")
     upto = np.searchsorted(ends, starts + kmer_chars)
-    whole = upto < len(ends)
-    starts, upto = starts[whole], ends[upto[whole]]
+    last = ends[np.minimum(upto, len(ends) - 1)]
+    whole = (upto < len(ends)) & (last <= until[row])
+    starts, last, row = starts[whole], last[whole], row[whole]
     if not len(starts):
-        return starts, starts.astype(np.uint64)
-    up, down = _powers(len(codes))
-    sums = np.r_[np.zeros(1, np.uint64), np.cumsum(_mix(codes.astype(np.uint64) + np.uint64(1)) * up)]
-    h = _mix((sums[upto] - sums[starts]) * down[starts])
-    n = max(1, len(h) - window + 1)
-    kept = np.unique(np.lib.stride_tricks.sliding_window_view(h, min(window, len(h))).argmin(axis=1) + np.arange(n))
-    return starts[kept], h[kept]
+        return none, none, none.astype(np.uint64)
+    h = _hashes(codes, starts, last)
+    beyond = np.minimum(np.searchsorted(starts, starts + window), np.searchsorted(row, row, "right"))
+    kept = np.unique(_least(h, beyond - np.arange(len(h))))
+    return row[kept], starts[kept] - begin[row[kept]], h[kept]
+
 
+def _places(kmer_chars: int, window: int, chars: int = 200_000):
+    """For rows (key, same, chars, text): the kept k-mers of each text, a few texts at a time."""
 
-def _edges(kmer_chars: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            row, off, own, after, before = [], [], [], [], []
-            for i, t in enumerate(b.column(1).to_pylist()):
-                at, h = kmers(t, kmer_chars, window)
-                h = h.view(np.int64)
-                row.append(np.full(len(h), i))
-                off.append(at.astype(np.int32))
-                own.append(h)
-                after.append(np.ma.array(np.roll(h, -1), mask=np.arange(len(h)) == len(h) - 1))
-                before.append(np.ma.array(np.roll(h, 1), mask=np.arange(len(h)) == 0))
-            if not row:
-                continue
-            listed = [pa.array(np.ma.concatenate(x).data, mask=np.ma.getmaskarray(np.ma.concatenate(x))) for x in (own, after, before)]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(row))), pa.array(np.concatenate(off)), *listed], names=["rep", "off", "h", "after", "before"])
+            texts = b.column(3).to_pylist()
+            counts, offs, hashes = np.zeros(len(texts), np.int64), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+            at = 0
+            while at < len(texts):
+                end, size = at + 1, len(texts[at])
+                while end < len(texts) and size + len(texts[end]) <= chars:
+                    size += len(texts[end])
+                    end += 1
+                row, off, h = kmers(texts[at:end], kmer_chars, window)
+                counts[at:end] = np.bincount(row, minlength=end - at)
+                offs.append(off.astype(np.int32))
+                hashes.append(h.view(np.int64))
+                at = end
+            upto = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), b.column(2), pa.ListArray.from_arrays(upto, pa.array(np.concatenate(offs))), pa.ListArray.from_arrays(upto, pa.array(np.concatenate(hashes)))],
+                names=[*b.schema.names[:3], "offs", "hashes"],
+            )
 
     return run
 
@@ -131,9 +166,7 @@ def _windows(size: int, kmer_chars: int):
                 np.add.at(steps, np.clip(offs + kmer_chars - size, 0, last + 1), 1)
                 np.add.at(steps, np.clip(offs, -1, last) + 1, -1)
                 starts = np.flatnonzero(np.cumsum(steps)[: last + 1] > 0)
-                up, down = _powers(len(codes))
-                sums = np.r_[np.zeros(1, np.uint64), np.cumsum(_mix(codes.astype(np.uint64) + np.uint64(1)) * up)]
-                h = _mix((sums[starts + size] - sums[starts]) * down[starts]).view(np.int64)
+                h = _hashes(codes, starts, starts + size).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([rep.as_py()] * len(starts), b.schema.field(0).type), pa.array(starts.astype(np.int32)), pa.array(h)], names=["rep", "start", "w"])
 
     return run
@@ -157,35 +190,35 @@ def _common(a: str, b: str, i: int, j: int) -> tuple[int, int, int]:
     return i - left, j - left, left + right
 
 
-def shared_spans(a: str, b: str, coordinates: list[tuple[int, int]], often: bool, min_chars: int) -> list[tuple[int, int, int]]:
+def shared_spans(a: str, b: str, coordinates: list[tuple[int, int]], min_chars: int) -> list[tuple[int, int, int]]:
+    """The spans of two texts around common places: starts in both and length."""
     found: set[tuple[int, int, int]] = set()
     upto: dict[int, int] = {}  # the end in ``a`` of the last span of each diagonal
     for i, j in sorted(coordinates):
         if i >= upto.get(i - j, 0):
             found.add(x := _common(a, b, i, j))
             upto[i - j] = x[0] + x[2]
-    found = {x for x in found if x[2] >= min_chars}
-    if often:  # a k-mer comes again within a text: other places may go together too
-        windows: dict[str, int] = {}
-        for j in range(len(b) - min_chars + 1):
-            windows.setdefault(b[j : j + min_chars], j)
-        i = 0
-        while i <= len(a) - min_chars:
-            j = windows.get(a[i : i + min_chars])
-            if j is None:
-                i += 1
-            else:
-                found.add(x := _common(a, b, i, j))
-                i = max(i + 1, x[0] + x[2] - min_chars + 1)
-    return sorted(found)
+    return sorted(x for x in found if x[2] >= min_chars)
 
 
 def _verify(min_chars: int):
+    """Of pairs of windows with a common k-mer: those that share a span around it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            four = zip(*(b.column(n).to_pylist() for n in ("wx", "wy", "ix", "iy")))
+            kept = pa.array([k for k, (a, c, i, j) in enumerate(four) if _common(a, c, i, j)[2] >= min_chars], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(n).take(kept) for n in ("x", "y", "ox", "oy")], names=["x", "y", "ox", "oy"])
+
+    return run
+
+
+def _extend(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             index, spans = [], []
-            for k, (at, often, a, c) in enumerate(zip(*(b.column(n).to_pylist() for n in ("at", "often", "tx", "ty")))):
-                found = shared_spans(a, c, [(p["x"], p["y"]) for p in at], often, min_chars)
+            for k, (at, a, c) in enumerate(zip(*(b.column(n).to_pylist() for n in ("at", "tx", "ty")))):
+                found = shared_spans(a, c, [(p["x"], p["y"]) for p in at], min_chars)
                 index += [k] * len(found)
                 spans += found
             i = pa.array(index, pa.int64())
@@ -201,29 +234,39 @@ class SharedSpans:
     def __init__(self, docs: DataFrame, key: str = "rec_id", text: str = "text", min_chars: int = MIN_CHARS) -> None:
         if min_chars < 120:
             raise ValueError("spans of fewer than 120 characters are too short for this graph")
-        # min_chars less 16 at either end is kmer_chars and a token to cover one k-mer, and (window + 1) tokens to move on.
-        self.window = 8
-        self.kmer_chars = min_chars - 2 * RUN_CHARS - RUN_CHARS - (self.window + 1) * RUN_CHARS if min_chars >= 384 else 0
-        if not self.kmer_chars:
-            self.window = 1
-            self.kmer_chars = min_chars - 5 * RUN_CHARS
+        # Of min_chars go 16 off at either end, 16 until the first token starts and 16 to end a k-mer with a token; what
+        # is left is for the window and a k-mer. A k-mer is longer than a window by a token, so that it reaches the next one.
+        left = min_chars - 4 * RUN_CHARS
+        self.kmer_chars = (left + RUN_CHARS) // 2
+        self.window = left - self.kmer_chars
         self.key, self.min_chars, self.kind = key, min_chars, docs.schema[key].dataType.simpleString()
-        rows = once(docs.select(F.col(key), F.col(text).alias("text")).where(F.col(key).isNotNull() & (F.char_length(text) >= min_chars)), key)
-        named = rows.withColumn("same", F.md5("text"))
+        self.rows = docs.select(F.col(key), F.col(text).alias("text")).where(F.col(key).isNotNull() & (F.char_length(text) >= min_chars))
+        named = spread(self.rows.select(key, F.unhex(F.md5("text")).alias("same"), F.char_length("text").alias("chars"), "text"))
+        self.places = cut(named.mapInArrow(_places(self.kmer_chars, self.window), f"`{key}` {self.kind}, same binary, chars int, offs array<int>, hashes array<bigint>"))
         #: (key, rep, chars): the class of records with the same text, named by its smallest id.
-        sized = cut(named.select(key, "same", F.char_length("text").alias("chars")))
+        sized = self.places.select(key, "same", "chars").dropDuplicates([key])
         self.members = sized.join(sized.groupBy("same").agg(F.min(key).alias("rep")), "same").select(key, "rep", "chars")
-        self.texts = rows.join(self.members.where(F.col(key) == F.col("rep")).select("rep"), F.col(key) == F.col("rep"), "left_semi").select(F.col(key).alias("rep"), "text")
+
+    def _texts(self, some: DataFrame) -> DataFrame:
+        """``some``, rows with a column ``rep``, with the texts, which are read again for that; texts delivered twice come twice."""
+        return some.join(self.rows.select(F.col(self.key).alias("rep"), "text"), "rep")
 
     def graph(self) -> tuple[DataFrame, DataFrame]:
-        """The edges of all texts, and the k-mers that occur in two classes at least with their only neighbours."""
-        edges = cut(self.texts.mapInArrow(_edges(self.kmer_chars, self.window), f"rep {self.kind}, off int, h bigint, after bigint, before bigint"))
-        one = lambda c: (F.min(c) == F.max(c)) & (F.count(c) == F.count("*")) & (F.min(c) != F.col("h"))
+        """The edges at k-mers that occur in two classes at least, and these k-mers with their only neighbours."""
+        reps = self.members.where(F.col(self.key) == F.col("rep")).select(F.col("rep").alias(self.key))
+        hop = F.transform(
+            "hashes",
+            lambda x, i: F.struct(
+                F.get("offs", i).alias("off"), x.alias("h"), F.get("hashes", i + 1).alias("after"), F.get("hashes", i - 1).alias("before"), (F.get("offs", i + 1) - F.get("offs", i)).alias("gap")
+            ),
+        )
+        every = self.places.join(reps, self.key, "left_semi").select(F.col(self.key).alias("rep"), F.inline(hop))
+        shared = every.groupBy("h").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1")).where("r0 < r1").select("h")
+        edges = cut(every.join(shared, "h", "left_semi").distinct())
+        one = lambda c: (F.min(c) == F.max(c)) & (F.count(c) == F.count("*"))
         nodes = cut(
             edges.groupBy("h")
-            .agg(F.min("rep").alias("r0"), F.max("rep").alias("r1"), F.when(one("after"), F.min("after")).alias("next"), F.when(one("before"), F.min("before")).alias("last"))
-            .where("r0 < r1")
-            .select("h", "next", "last")
+            .agg(F.when(one("after") & one("gap") & (F.min("after") != F.col("h")), F.min("after")).alias("next"), F.when(one("before") & (F.min("before") != F.col("h")), F.min("before")).alias("last"))
         )
         return edges, nodes
 
@@ -234,10 +277,10 @@ class SharedSpans:
         return nodes.join(step, ["h", "last"], "left_semi").select("h", F.col("last").alias("to"))
 
     def heads(self) -> DataFrame:
-        """(h, rep, off, n): the heads of compacted paths and where they occur. Every record on a path holds its head."""
+        """(h, rep, off): the heads of compacted paths and where they occur. Every record on a path holds its head."""
         edges, nodes = self.graph()
         heads = nodes.select("h").join(self.inner(nodes).select("h"), "h", "left_anti")
-        return edges.join(heads, "h", "left_semi").groupBy("h", "rep").agg(F.min("off").alias("off"), F.count("*").alias("n"))
+        return edges.join(heads, "h", "left_semi").select("h", "rep", "off")
 
     def paths(self) -> DataFrame:
         """(head, kmers, records): the compacted paths, their length and the number of classes on them.
@@ -259,22 +302,32 @@ class SharedSpans:
         heads = inside.join(lengths, "h", "left").join(records, "h")
         return heads.select(F.col("h").alias("head"), (F.coalesce("behind", F.lit(0)) + 1).alias("kmers"), "records")
 
+    def meetings(self) -> DataFrame:
+        """(x, y, ox, oy): heads at which two classes share a span, x < y, with the places in both texts."""
+        beside = self.min_chars - self.kmer_chars
+        begin = F.greatest(F.col("off") - beside, F.lit(0))
+        windows = (
+            self._texts(self.heads())
+            .select("h", "rep", "off", (F.col("off") - begin).alias("i"), F.substring("text", begin + 1, F.col("off") - begin + self.min_chars).alias("w"))
+            .groupBy("h", "rep", "i", "w").agg(F.min("off").alias("off"))  # places with the same window settle the same
+        )
+        a = windows.select("h", F.col("rep").alias("x"), F.col("off").alias("ox"), F.col("i").alias("ix"), F.col("w").alias("wx"))
+        b = windows.select("h", F.col("rep").alias("y"), F.col("off").alias("oy"), F.col("i").alias("iy"), F.col("w").alias("wy"))
+        met = a.join(b, "h").where("x < y").select("x", "y", "ox", "oy", "ix", "iy", "wx", "wy")
+        return met.mapInArrow(_verify(self.min_chars), f"x {self.kind}, y {self.kind}, ox int, oy int")
+
     def spans(self) -> DataFrame:
-        """(x, y, start_x, start_y, chars): spans that two classes share, x < y."""
-        heads = self.heads()
-        a = heads.select("h", F.col("rep").alias("x"), F.col("off").alias("ox"), F.col("n").alias("nx"))
-        b = heads.select("h", F.col("rep").alias("y"), F.col("off").alias("oy"), F.col("n").alias("ny"))
-        met = a.join(b, "h").where("x < y")
-        # All places where two records meet: no more than the heads of a text. Each may lie in a span of its own.
-        pairs = met.groupBy("x", "y").agg(F.collect_list(F.struct(F.col("ox").alias("x"), F.col("oy").alias("y"))).alias("at"), F.max(F.col("nx") + F.col("ny") > 2).alias("often"))
-        both = pairs.join(self.texts.select(F.col("rep").alias("x"), F.col("text").alias("tx")), "x").join(self.texts.select(F.col("rep").alias("y"), F.col("text").alias("ty")), "y")
-        return both.select("x", "y", "at", "often", "tx", "ty").mapInArrow(_verify(self.min_chars), f"x {self.kind}, y {self.kind}, start_x int, start_y int, chars int")
+        """(x, y, start_x, start_y, chars): whole spans that two classes share, x < y."""
+        pairs = self.meetings().groupBy("x", "y").agg(F.collect_list(F.struct(F.col("ox").alias("x"), F.col("oy").alias("y"))).alias("at"))  # no more than the heads of a text
+        one = self._texts(pairs.withColumnRenamed("x", "rep")).withColumnsRenamed({"rep": "x", "text": "tx"}).dropDuplicates(["x", "y"])
+        both = self._texts(one.withColumnRenamed("y", "rep")).withColumnsRenamed({"rep": "y", "text": "ty"}).dropDuplicates(["x", "y"])
+        return both.select("x", "y", "at", "tx", "ty").mapInArrow(_extend(self.min_chars), f"x {self.kind}, y {self.kind}, start_x int, start_y int, chars int")
 
     def pairs(self) -> DataFrame:
         """(rec_a, rec_b): every two records that share a span, the smaller id first."""
         a = self.members.select(F.col("rep").alias("x"), F.col(self.key).alias("a"))
         b = self.members.select(F.col("rep").alias("y"), F.col(self.key).alias("b"))
-        between = self.spans().select("x", "y").distinct().join(a, "x").join(b, "y").select("a", "b")
+        between = self.meetings().select("x", "y").distinct().join(a, "x").join(b, "y").select("a", "b")
         inside = a.join(b, F.col("x") == F.col("y")).where("a < b").select("a", "b")
         return between.unionAll(inside).select(F.least("a", "b").alias("rec_a"), F.greatest("a", "b").alias("rec_b"))
 
@@ -285,9 +338,9 @@ class SharedSpans:
         shared, so these are hashed (64 bits), each hash is pre-aggregated to its smallest and largest class, and
         the windows of more than one class are laid over each text.
         """
-        edges, nodes = self.graph()
-        met = edges.join(nodes.select("h"), "h", "left_semi").groupBy("rep").agg(F.collect_list("off").alias("at"))  # no more than the text is long
-        rows = cut(met.join(self.texts, "rep").select("rep", "at", "text").mapInArrow(_windows(self.min_chars, self.kmer_chars), f"rep {self.kind}, start int, w bigint"))
+        edges, _ = self.graph()
+        met = edges.groupBy("rep").agg(F.collect_list("off").alias("at"))  # no more than the text is long
+        rows = cut(self._texts(met).dropDuplicates(["rep"]).select("rep", "at", "text").mapInArrow(_windows(self.min_chars, self.kmer_chars), f"rep {self.kind}, start int, w bigint"))
         common = rows.groupBy("w").agg(F.min("rep").alias("r0"), F.max("rep").alias("r1")).where("r0 < r1").select("w")
         before = Window.partitionBy("rep").orderBy("start")
         found = rows.join(common, "w", "left_semi").withColumn("last", F.lag("start").over(before))

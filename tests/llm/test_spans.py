@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from loamline.llm.spans import SharedSpans, kmers, shared_spans, starts_of_tokens
+from loamline.llm.spans import SharedSpans, _least, kmers, shared_spans, starts_of_tokens
 
 DOCS = "rec_id bigint, text string, rep string, h bigint, off int"
 
@@ -97,22 +98,41 @@ def test_empty_and_very_long(spark):
 
 def test_kmers_of_a_shared_span_meet():
     rng = random.Random(1)
-    search = SharedSpans.__new__(SharedSpans)
-    for alphabet in ("abc def ", "0123456789ABCDEFabcdef", "漢字、仮名", "a"):
+    size, window = 176, 160
+    for alphabet in ("abc def ", "0123456789ABCDEFabcdef", "漢字、仮名", "a", "abcdefghijklmnop qrstuvwxyzabcdef"):
         for _ in range(30):
             mid = "".join(rng.choice(alphabet) for _ in range(400))
             a = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 200))) + mid + "".join(rng.choice(alphabet) for _ in range(100))
             b = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 200))) + mid
-            from loamline.llm.spans import RUN_CHARS
+            row, off, h = kmers([a, "", b], size, window)
+            assert set(h[row == 0].tolist()) & set(h[row == 2].tolist()) and not (row == 1).any()
+            for r, t in ((0, a), (2, b)):  # a text beside others gives what it gives alone
+                alone = kmers([t], size, window)
+                assert off[row == r].tolist() == alone[1].tolist() and h[row == r].tolist() == alone[2].tolist()
+                assert (np.diff(alone[1]) <= size).all()  # a k-mer reaches the next one
+    assert starts_of_tokens(np.frombuffer("ab, c".encode("utf-32-le"), np.uint32)).tolist() == [0, 2, 3, 4]
+    assert SharedSpans.__doc__
 
-            size = 400 - 3 * RUN_CHARS - 9 * RUN_CHARS
-            assert set(kmers(a, size, 8)[1].tolist()) & set(kmers(b, size, 8)[1].tolist())
-    assert starts_of_tokens is not None and search is not None
+
+def test_least_is_the_first_smallest():
+    rng = np.random.default_rng(3)
+    h = rng.integers(0, 9, 300).astype(np.uint64)
+    counts = np.minimum(rng.integers(1, 40, 300), 300 - np.arange(300))
+    assert _least(h, counts).tolist() == [k + int(h[k : k + n].argmin()) for k, n in enumerate(counts.tolist())]
+
+
+def test_whole_spans(spark):
+    rng = random.Random(11)
+    part = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    one, two = part(900), part(400)
+    docs = [(1, "(" + one + ")" + part(300) + "[" + two + "]"), (2, "<" + two + ">" + part(50) + "{" + one + "}")]
+    got = {(x["start_x"], x["start_y"], x["chars"]) for x in SharedSpans(frame(spark, docs)).spans().collect()}
+    assert got == {(1, docs[1][1].index(one), 900), (docs[0][1].index(two), 1, 400)}
 
 
 def test_spans_of_two_texts():
     a, b = "x" * 10 + "common part" * 40, "yy" + "common part" * 40 + "zz"
-    assert (10, 2, 440) in shared_spans(a, b, [(30, 22)], False, 400)
+    assert (10, 2, 440) in shared_spans(a, b, [(30, 22)], 400)
 
 
 def test_shares_against_brute_force(spark):
