@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamline.session import cut
+
 #: A word: a run of letters and digits.
 WORD = re.compile(r"[^\W_]+")
 
@@ -31,5 +33,11 @@ def once(df: DataFrame, key: str, *also: str) -> DataFrame:
     return marked.repartition(parts, key, *also, apart).dropDuplicates([key, *also, apart]).drop(apart)
 
 
+def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df``, a narrow frame of a few numbers a row, written once; to be broadcast if it has at most ``rows`` rows, else to be joined as it comes."""
+    kept = cut(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
 def blank(text: Column) -> Column:
     return text.isNull() | ~text.rlike(r"\S")

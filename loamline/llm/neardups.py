@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm.common import words
+from loamline.llm.common import small, words
 from loamline.operators.graph import components
 from loamline.registry import Registry
 from loamline.session import cut, spread
@@ -184,11 +184,11 @@ def search(prints: np.ndarray, sizes: np.ndarray, group: np.ndarray, asks: np.nd
     return np.concatenate([none, *left]), np.concatenate([none, *right]), visited
 
 
-_PROFILE = "n_runs int, print binary, shards array<bigint>, same binary"
+_PROFILE = "n_runs int, shards array<bigint>, same binary"
 
 
-def profiles(docs: DataFrame, key: str, text: str, run_words: int, min_runs: int, bits: int, bands: int, rows: int) -> DataFrame:
-    """(key, n_runs, print, shards, same): what the search needs of each record; n_runs is 0 where no partner can be."""
+def profiles(docs: DataFrame, key: str, text: str, run_words: int, min_runs: int, bands: int, rows: int) -> DataFrame:
+    """(key, n_runs, shards, same): what the search needs of each record; n_runs is 0 where no partner can be."""
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +200,7 @@ def profiles(docs: DataFrame, key: str, text: str, run_words: int, min_runs: int
                 while end < len(texts) and size + len(texts[end] or "") <= CHUNK_CHARS:
                     size += len(texts[end] or "")
                     end += 1
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, end - at), *some(texts[at:end])], names=[key, "n_runs", "print", "shards", "same"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, end - at), *some(texts[at:end])], names=[key, "n_runs", "shards", "same"])
                 at = end
 
     def some(texts: list[str | None]) -> list[pa.Array]:
@@ -210,43 +210,53 @@ def profiles(docs: DataFrame, key: str, text: str, run_words: int, min_runs: int
         starts = ends - counts
         live = np.flatnonzero((counts >= min_runs) & (counts > 0))
         kept = np.repeat(np.isin(np.arange(len(texts)), live), counts)
-        doc = np.repeat(np.arange(len(live)), counts[live])
         own = runs[kept]
         least = minima(own, np.r_[0, np.cumsum(counts[live])[:-1]] if len(live) else np.empty(0, np.int64), bands * rows, 2)
         folded = np.zeros((bands, len(live)), np.uint64)
         for r in range(rows):
             folded = mix(folded + least[r::rows] + _GOLDEN)
         shards = mix(folded.T + np.arange(bands, dtype=np.uint64)).view(np.int64)
-        prints = odd_sketches(own, doc, len(live), bits)
         n_runs = np.zeros(len(texts), np.int32)
         n_runs[live] = counts[live]
-        print_of, same = [None] * len(texts), [None] * len(texts)
-        for k, i in enumerate(live.tolist()):
-            print_of[i] = prints[k].tobytes()
+        same = [None] * len(texts)
+        for i in live.tolist():
             same[i] = xxhash.xxh128_digest(runs[starts[i] : ends[i]].tobytes())
         for i in np.flatnonzero(n_runs == 0).tolist():
             if listed[i]:
                 same[i] = xxhash.xxh128_digest("\n".join(["", *listed[i]]))
         offsets = np.r_[0, np.cumsum(np.where(n_runs > 0, bands, 0))].astype(np.int32)
-        return [pa.array(n_runs), pa.array(print_of, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(shards.reshape(-1))), pa.array(same, pa.binary())]
+        return [pa.array(n_runs), pa.ListArray.from_arrays(pa.array(offsets), pa.array(shards.reshape(-1))), pa.array(same, pa.binary())]
 
     kind = docs.schema[key].dataType.simpleString()
     return spread(docs.select(key, text)).mapInArrow(run, f"`{key}` {kind}, {_PROFILE}")
 
 
-def _runs(run_words: int):
-    """For rows (rep, text): the runs of each text."""
+def _each(run_words: int, make, names: list[str]):
+    """For rows (rep, text): what ``make`` gives of the runs of some texts, a few texts at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
                 b = whole.slice(at, 64)
                 runs, ends = runs_of([words(t) for t in b.column(1).to_pylist()], run_words)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(runs.view(np.int64)))], names=["rep", "runs"])
+                yield pa.RecordBatch.from_arrays([b.column(0), *make(runs, ends)], names=["rep", *names])
 
     return run
 
 
+def _sketches(run_words: int, bits: int):
+    def make(runs: np.ndarray, ends: np.ndarray) -> list[pa.Array]:
+        counts = np.diff(np.r_[0, ends])
+        prints = odd_sketches(runs, np.repeat(np.arange(len(ends)), counts), len(ends), bits)
+        return [pa.array(counts.astype(np.int32)), pa.array([p.tobytes() for p in prints], pa.binary())]
+
+    return _each(run_words, make, ["n_runs", "print"])
+
+
+def _runs(run_words: int):
+    return _each(run_words, lambda runs, ends: [pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(runs.view(np.int64)))], ["runs"])
+
+
 def _search_groups(similarity: float):
     """For rows sorted by (shard, tree, by, asks, n_runs): the pairs that the trees give."""
 
@@ -285,41 +295,43 @@ class NearDuplicates:
     """The search over one table; its profile is written to the shared folder once."""
 
     def __init__(self, docs: DataFrame, key: str = "rec_id", text: str = "text", similarity: float = SIMILARITY, run_words: int = RUN_WORDS, min_runs: int = MIN_RUNS, bits: int = BITS, bands: int = BANDS, rows: int = ROWS, block_rows: int = BLOCK_ROWS) -> None:
-        self.key, self.similarity, self.run_words, self.block_rows = key, similarity, run_words, block_rows
+        self.key, self.similarity, self.run_words, self.bits, self.block_rows = key, similarity, run_words, bits, block_rows
         self.kind = docs.schema[key].dataType.simpleString()
         self.docs = docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).where("rep IS NOT NULL")
-        self.all = cut(profiles(docs.where(F.col(key).isNotNull()), key, text, run_words, min_runs, bits, bands, rows))
+        self.all = cut(profiles(docs.where(F.col(key).isNotNull()), key, text, run_words, min_runs, bands, rows))
         least = self.all.where("same IS NOT NULL").groupBy("same").agg(F.min(key).alias("rep"))
         #: (key, rep, n_runs): the class of records with the same runs, named by its smallest id.
         self.members = self.all.select(key, "same", "n_runs").dropDuplicates([key]).join(least, "same", "left").select(key, F.coalesce("rep", key).alias("rep"), "n_runs")
         self.reps = self.all.where("n_runs > 0").join(least.select(F.col("rep").alias(key)), key, "left_semi").withColumnRenamed(key, "rep")
 
     def placed(self) -> DataFrame:
-        """(shard, tree, by, asks, rep, n_runs, print): the records of shards that hold two at least, for each meeting of blocks."""
+        """(shard, tree, by, asks, rep): the records of shards that hold two at least, for each meeting of blocks.
+
+        Two copies of a long text with few edits meet in most of the bands. Of the shards with the same records, told
+        by their number and a digest, one is kept: the others have the same tree and give the same pairs.
+        """
         shards = self.reps.select(F.explode("shards").alias("shard"), "rep")
-        counted = shards.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1")
+        counted = shards.groupBy("shard").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("who")).where("n > 1")
+        kept = small(counted.groupBy("n", "who").agg(F.min("shard").alias("shard")).select("shard", "n"))
         blocks = F.ceil(F.col("n") / self.block_rows).cast("int")
         block = F.pmod(F.xxhash64("rep", "shard"), F.col("blocks")).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         return (
-            shards.join(counted, "shard").withColumn("blocks", blocks).withColumn("block", block)
+            shards.join(kept, "shard").withColumn("blocks", blocks).withColumn("block", block)
             .select("shard", "rep", "block", other.alias("other"))
             .select("shard", "rep", F.least("block", "other").alias("tree"), F.greatest("block", "other").alias("by"), (F.col("block") > F.col("other")).alias("asks"))
-            .join(self.reps.select("rep", "n_runs", "print"), "rep")
         )
 
-    def candidates(self) -> DataFrame:
-        """(x, y): pairs that the trees give, x < y."""
-        order = ["shard", "tree", "by", "asks", "n_runs", "rep"]
-        rows = self.placed().select(*order, "print").repartition("shard", "tree", "by").sortWithinPartitions(*order)
-        found = rows.mapInArrow(_search_groups(self.similarity), f"x {self.kind}, y {self.kind}").where("x <> y")
-        return found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-
     def links(self) -> DataFrame:
         """(x, y, similarity): representatives of classes, x < y, at or above the threshold."""
-        pairs = cut(self.candidates())
+        order = ["shard", "tree", "by", "asks", "n_runs", "rep"]
+        placed = cut(self.placed())
+        sketches = self.docs.join(small(placed.select("rep").distinct()), "rep", "left_semi").mapInArrow(_sketches(self.run_words, self.bits), f"rep {self.kind}, n_runs int, print binary")
+        rows = placed.join(sketches, "rep").select(*order, "print").repartition("shard", "tree", "by").sortWithinPartitions(*order)
+        found = rows.mapInArrow(_search_groups(self.similarity), f"x {self.kind}, y {self.kind}").where("x <> y")
+        pairs = cut(found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
         met = pairs.select(F.col("x").alias("rep")).unionAll(pairs.select(F.col("y").alias("rep"))).distinct()
-        runs = cut(self.docs.join(met, "rep", "left_semi").mapInArrow(_runs(self.run_words), f"rep {self.kind}, runs array<bigint>").dropDuplicates(["rep"]))
+        runs = self.docs.join(small(met), "rep", "left_semi").mapInArrow(_runs(self.run_words), f"rep {self.kind}, runs array<bigint>")
         both = pairs.join(runs.select(F.col("rep").alias("x"), F.col("runs").alias("rx")), "x").join(runs.select(F.col("rep").alias("y"), F.col("runs").alias("ry")), "y")
         common = F.size(F.array_intersect("rx", "ry"))
         return (
@@ -327,6 +339,7 @@ class NearDuplicates:
             .withColumn("similarity", F.col("common") / (F.size("rx") + F.size("ry") - F.col("common")))
             .where(F.col("similarity") >= self.similarity)
             .select("x", "y", "similarity")
+            .distinct()  # texts delivered twice come twice
         )
 
     def pairs(self) -> DataFrame:

@@ -113,7 +113,7 @@ def test_distance_of_sketches_is_never_more_than_the_runs_apart():
         assert np.bitwise_count(two[0] ^ two[1]).sum() <= len(np.setxor1d(a, b))
 
 
-@pytest.mark.parametrize("most, part", [(400, 0.35), (1500, 0.3), (4000, 0.4)])
+@pytest.mark.parametrize("most, part", [(400, 0.35), (1500, 0.3)])
 def test_trees_prune_records_of_other_sizes(most, part):
     """2,000 unrelated records of 40 runs and more in one shard: a part of the nodes is visited, nothing is found."""
     rng = np.random.default_rng(6)
@@ -133,3 +133,11 @@ def test_very_long_and_empty(spark):
     assert NearDuplicates(frame(spark, docs).limit(0)).groups().count() == 0
     runs, ends = runs_of([words(long), [], words("a b"), words("a b c a b c")], 3)
     assert ends.tolist() == [ends[0], ends[0], ends[0], ends[0] + 3] and minima(runs, np.array([0, ends[0]]), 64, 1).shape == (64, 2)
+
+
+def test_beyond_the_size_for_a_broadcast_joins_do_it(spark, monkeypatch):
+    from loamline.llm import common, neardups
+
+    docs = corpus(60, 8)
+    monkeypatch.setattr(neardups, "small", lambda df: common.small(df, 3))
+    assert {tuple(x) for x in NearDuplicates(frame(spark, docs)).pairs().collect()} == brute(docs, 0.6)
