@@ -1,7 +1,12 @@
 """Problem 1: mix the records of several sources to target weights.
 
 ``blend_plan`` compares what each source should give with what it has, ``blend_mix`` draws the
-records by systematic sampling and ``blend_shares`` reports the shares that the mix reaches.
+records by systematic sampling and ``blend_shares`` reports the shares that the mix reaches, and from the copies that
+were really drawn which sources fall short of their target at the greatest number of repeats.
+
+What a capped source can't give is left open by default: the mix is then smaller by that, and every source's share
+of it is nearer to its target than if the others made up for it. With ``refill`` the others give it in proportion to
+their weights, each up to its own cap, so that the mix is as large as all records together.
 
 Systematic sampling: within a source every record is expected ``rate`` times. The expected copies
 are summed up along the source, one random offset is added for the source, and the record is
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm.common import once
 from loamline.registry import Registry
+from loamline.session import cut
 from loamline.tables import load
 
 registry = Registry()
@@ -59,19 +65,19 @@ def blend_records(blend: DataFrame, records: DataFrame) -> DataFrame:
     return once(tidy.join(live_entries(blend), ["place", "part"]).select("name", "record_id", "n_tokens"), "record_id", "name")
 
 
-def blend_plan(blend: DataFrame, records: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
+def blend_plan(blend: DataFrame, records: DataFrame, max_repeats: int = MAX_REPEATS, refill: bool = False) -> DataFrame:
     """A row for each live entry: what it has, what its weight asks for and how often its records come.
 
     (name, weight, target_share, n_records, tokens, wanted_tokens, needed_repeats, rate, over_cap)
     """
-    return _plan(live_entries(blend), blend_records(blend, records), max_repeats)
+    return _plan(live_entries(blend), blend_records(blend, records), max_repeats, refill)
 
 
-def _plan(entries: DataFrame, own: DataFrame, max_repeats: int) -> DataFrame:
+def _plan(entries: DataFrame, own: DataFrame, max_repeats: int, refill: bool = False) -> DataFrame:
     have = own.groupBy("name").agg(F.count("*").alias("n_records"), F.sum("n_tokens").alias("tokens"))
     everything = Window.partitionBy(F.lit(1))  # over the entries, not over their records
     share = F.col("weight") / F.sum("weight").over(everything)
-    return (
+    plan = (
         entries.select("name", "weight")
         .join(have, "name", "left")
         .fillna(0, ["n_records", "tokens"])
@@ -80,12 +86,28 @@ def _plan(entries: DataFrame, own: DataFrame, max_repeats: int) -> DataFrame:
         .withColumn("rate", F.when(F.col("tokens") > 0, F.least("needed_repeats", F.lit(float(max_repeats)))))
         .withColumn("over_cap", F.col("wanted_tokens") > max_repeats * F.col("tokens"))
     )
+    if not refill:
+        return plan
+    # Entries run out in the order of what they can give for their weight. Those before an entry run out first, so the weight of
+    # the entries from it on shares what they leave; the level is that of the first entry which doesn't run out, and falls after it.
+    most = F.col("tokens") * max_repeats
+    order = Window.partitionBy(F.lit(1)).orderBy(most / F.col("target_share"), "name")  # over the entries
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    left = F.sum("tokens").over(everything) - F.coalesce(F.sum(most).over(before), F.lit(0))
+    level = left / (1 - F.coalesce(F.sum("target_share").over(before), F.lit(0.0)))
+    levels = plan.withColumn("level", level).withColumn("level", F.max(F.when(F.col("level") * F.col("target_share") <= most, F.col("level"))).over(everything))
+    given = F.least(F.coalesce(F.col("level") * F.col("target_share"), most.cast("double")), most)
+    return levels.withColumn("rate", F.when(F.col("tokens") > 0, given / F.col("tokens"))).drop("level")
+
+
+def blend_mix(blend: DataFrame, records: DataFrame, max_repeats: int = MAX_REPEATS, seed: int = 7, block_rows: int = BLOCK_ROWS, refill: bool = False) -> DataFrame:
+    """(name, record_id, n_tokens, copy): a row for each copy of a record in the mix; copy counts from 1."""
+    own = cut(blend_records(blend, records))
+    return _mix(own, _plan(live_entries(blend), own, max_repeats, refill), seed, block_rows)
 
 
-def blend_mix(blend: DataFrame, records: DataFrame, max_repeats: int = MAX_REPEATS, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(name, record_id, n_tokens, copy): a row for each copy of a record in the mix; copy counts from 1."""
-    own = blend_records(blend, records)
-    plan = _plan(live_entries(blend), own, max_repeats).where("rate > 0").select(
+def _mix(own: DataFrame, plan: DataFrame, seed: int, block_rows: int) -> DataFrame:
+    plan = plan.where("rate > 0").select(
         "name",
         F.round(F.col("rate") * UNIT).cast("bigint").alias("step"),
         F.ceil(F.col("n_records") / block_rows).alias("blocks"),
@@ -107,16 +129,22 @@ def blend_mix(blend: DataFrame, records: DataFrame, max_repeats: int = MAX_REPEA
     )
 
 
-def blend_shares(blend: DataFrame, records: DataFrame, max_repeats: int = MAX_REPEATS, seed: int = 7) -> DataFrame:
-    """What the mix really gives: (name, target_share, emitted, tokens, share, most_copies)."""
-    got = blend_mix(blend, records, max_repeats, seed).groupBy("name").agg(F.count("*").alias("emitted"), F.sum("n_tokens").alias("tokens"), F.max("copy").alias("most_copies"))
+def blend_shares(blend: DataFrame, records: DataFrame, max_repeats: int = MAX_REPEATS, seed: int = 7, block_rows: int = BLOCK_ROWS, refill: bool = False) -> DataFrame:
+    """What the mix really gives: (name, target_share, over_cap, emitted, tokens, most_copies, share).
+
+    An entry is over its cap if every record of it was drawn ``max_repeats`` times and that is less than its weight asks for.
+    """
+    own = cut(blend_records(blend, records))  # counted, summed up and drawn from
+    plan = cut(_plan(live_entries(blend), own, max_repeats, refill))
+    got = _mix(own, plan, seed, block_rows).groupBy("name").agg(F.count("*").alias("emitted"), F.sum("n_tokens").alias("drawn"), F.max("copy").alias("most_copies"))
     everything = Window.partitionBy(F.lit(1))
     return (
-        blend_plan(blend, records, max_repeats)
-        .select("name", "target_share", "over_cap")
+        plan.select("name", "target_share", "wanted_tokens", "n_records")
         .join(got, "name", "left")
-        .fillna(0, ["emitted", "tokens", "most_copies"])
-        .withColumn("share", F.coalesce(F.col("tokens") / F.nullif(F.sum("tokens").over(everything), F.lit(0)), F.lit(0.0)))
+        .fillna(0, ["emitted", "drawn", "most_copies"])
+        .withColumn("over_cap", (F.col("emitted") == max_repeats * F.col("n_records")) & (F.col("drawn") < F.col("wanted_tokens")))
+        .withColumn("share", F.coalesce(F.col("drawn") / F.nullif(F.sum("drawn").over(everything), F.lit(0)), F.lit(0.0)))
+        .select("name", "target_share", "over_cap", "emitted", F.col("drawn").alias("tokens"), "most_copies", "share")
     )
 
 
@@ -144,7 +172,7 @@ plan AS (
 
 @registry.add("p1_found", _PLAN_SQL + "SELECT name FROM plan WHERE wanted_tokens > 4 * tokens")
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blend_plan(*_tables(spark, sf_dir)).where("over_cap").select("name")
+    return blend_shares(*_tables(spark, sf_dir)).where("over_cap").select("name")
 
 
 @registry.add(

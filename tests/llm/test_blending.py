@@ -65,3 +65,24 @@ def test_empty_tables(spark):
 def test_null_ids_stay(spark):
     b, r = tables(spark, [("a", "p", None, 1.0)], [(None, "p", None, 10), (None, "p", None, 10)])
     assert blend_records(b, r).count() == 2 and blend_mix(b, r).count() == 2
+
+
+def test_refill_gives_what_capped_sources_lack(spark):
+    sizes = {"a": 10, "b": 40, "c": 300, "d": 650}
+    blend, records = [(n, n, None, w) for n, w in zip("abcd", (4.0, 3.0, 2.0, 1.0))], [(1000 * k + j, n, None, 1) for k, n in enumerate(sizes) for j in range(sizes[n])]
+    b, r = tables(spark, blend, records)
+    plan = {x["name"]: x["rate"] * x["tokens"] for x in blend_plan(b, r, refill=True).collect()}
+    # a and b run out at 40 and 160 tokens; the other 800 go to c and d as 2 to 1.
+    assert plan == pytest.approx({"a": 40, "b": 160, "c": 800 * 2 / 3, "d": 800 / 3})
+    shares = {x["name"]: x for x in blend_shares(b, r, refill=True).collect()}
+    assert sum(x["tokens"] for x in shares.values()) == pytest.approx(1000, abs=3)
+    assert {n for n, x in shares.items() if x["over_cap"]} == {"a", "b"} == {x["name"] for x in blend_plan(b, r).where("over_cap").collect()}
+    # All run out: everything comes as often as it may.
+    b, r = tables(spark, [("a", "a", None, 1.0), ("b", "b", None, 1.0)], [(1, "a", None, 5), (2, "c", None, 5)])
+    assert {x["name"]: x["rate"] for x in blend_plan(b, r, refill=True).collect()} == {"a": 1.0, "b": None}
+
+
+def test_shortfall_is_read_from_what_was_drawn(spark):
+    b, r = tables(spark, [("a", "a", None, 4.0), ("b", "b", None, 6.0)], [(k, "a", None, 10) for k in range(10)] + [(100 + k, "b", None, 10) for k in range(90)])
+    got = {x["name"]: x for x in blend_shares(b, r).collect()}
+    assert not got["a"]["over_cap"] and got["a"]["emitted"] == 40 and got["a"]["tokens"] == 400  # exactly at the cap
