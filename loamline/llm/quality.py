@@ -46,7 +46,13 @@ FUNCTION_WORDS = {
 }
 #: Characters that carry grammar in Chinese text.
 CHINESE = set("的了在是和不有这那为与上中到就也把被以及对之或但而前后时候因所没很都让给从等")
-VOWELS = set("aeiouyаеиоуыэюяё")
+#: The share of function words in the letters of prose, by the first profile.
+FUNCTION_SHARE = 0.23
+VOWELS = set("aeiouyıæøœəаеиоуыэюяёіїєαεηιουω")
+#: The letters of the scripts whose vowels are known, without accents.
+_VOWELLED = re.compile("[a-zа-яёіїєα-ω]")
+#: Marks that belong to the letter before them.
+MARKS = "".join(chr(c) for c in range(0x300, 0x20000) if unicodedata.category(chr(c)) in ("Mn", "Mc"))
 
 #: The classes, and profiles over them: mean shares of texts of known structure.
 CLASSES = ("function", "word", "odd", "number", "blank", "end", "soft", "cell", "symbol", "break", "item")
@@ -82,7 +88,7 @@ PROFILES = tuple(
     )
 )
 
-_TOKEN = re.compile(r"https?://\S+|</?[a-zA-Z][^<>\n]{0,80}>|[^\W\d_]+(?:[\d+/=&?_]+[^\W\d_]*)*|\d+(?:[^\W_]*[a-zA-Z][^\W_]*)?|[  　]+|.|\n", re.S)
+_TOKEN = re.compile(r"https?://\S+|</?[a-zA-Z][^<>\n]{0,80}>|[^\W\d_]+(?:[\d+/=&?_" + MARKS + r"]+[^\W\d_]*)*|\d+(?:[^\W_]*[a-zA-Z][^\W_]*)?|[  　]+|.|\n", re.S)
 _ENDS = set(".!?…。！？")
 _SOFT = set(",;:'\"()-–—«»„“”‘’、，；：（）「」『』[]*•→")
 _BY_WORD = {w: sum(1 << k for k, ws in enumerate(FUNCTION_WORDS.values()) if w in ws.split()) for ws in FUNCTION_WORDS.values() for w in ws.split()}
@@ -99,6 +105,8 @@ def _odd(token: str, low: str) -> bool:
         return True
     if not token.isupper() and sum(c.isupper() for c in token[1:]) > 1:
         return True
+    if not _VOWELLED.match(low):  # another script: nothing is known of its vowels or of the length of its words
+        return False
     run = most = 0
     vowels = 0
     for c in low:
@@ -110,11 +118,11 @@ def _odd(token: str, low: str) -> bool:
     return not vowels or most >= 6 or len(low) > 30
 
 
-def _look(token: str) -> tuple[str, tuple[int, ...], bool]:
-    """A word in its plain form, the languages that it is a function word of, and whether it is odd."""
+def _look(token: str) -> tuple[str, tuple[int, ...], bool, bool]:
+    """A word in its plain form, the languages that it is a function word of, whether it is odd, and whether its script has no word list."""
     low = _plain(token.lower())
     mask = _BY_WORD.get(low, 0)
-    return low, tuple(j for j in range(len(FUNCTION_WORDS)) if mask >> j & 1), not mask and _odd(token, low)
+    return low, tuple(j for j in range(len(FUNCTION_WORDS)) if mask >> j & 1), not mask and _odd(token, low), not _VOWELLED.match(low)
 
 
 _seen = lru_cache(1 << 16)(_look)
@@ -125,6 +133,7 @@ class _Line:
 
     def __init__(self) -> None:
         self.size = self.words = self.function = 0
+        self.wide = self.kana = self.chinese = 0  # of the line's words, characters of scripts without blanks
         self.last, self.cells = "", False
 
     def see(self, c: str, size: int, words: int, function: int) -> None:
@@ -145,27 +154,28 @@ def shares(text: str) -> np.ndarray | None:
     tokens = _TOKEN.findall(text)
     n = dict.fromkeys(CLASSES, 0)
     by_language = [0] * len(FUNCTION_WORDS)
-    chinese = kana = wide = 0
     spoken: list[str] = []
     before = "\n"
-    line = _Line()
+    unlisted = 0
+    line, lines = _Line(), []
     for k, t in enumerate(tokens):
         c, size = t[0], len(t)
         if c.isalpha() and not t.startswith(("http://", "https://")):
             o = ord(c)
             if 0x3040 <= o <= 0x30FF or 0x3400 <= o <= 0x9FFF:
-                kana += sum("぀" <= x <= "ゟ" for x in t)
-                chinese += sum(x in CHINESE for x in t)
-                wide += size
-                line.see(c, 2 * size, 0, 0)
+                line.kana += sum("぀" <= x <= "ゟ" for x in t)
+                line.chinese += sum(x in CHINESE for x in t)
+                line.wide += size
+                line.see(c, 2 * size, size, 0)
                 before = c
                 continue
-            low, spoken_in, odd = _seen(t) if size <= 40 else _look(t)
+            low, spoken_in, odd, apart = _seen(t) if size <= 40 else _look(t)
             spoken.append(low)
             line.see(c, size, 0 if spoken_in else size, bool(spoken_in))
             for j in spoken_in:
                 by_language[j] += size
             n["odd" if odd else "word"] += size
+            unlisted += size if apart and not odd else 0
             before = c
             continue
         if c != "\n":
@@ -174,7 +184,7 @@ def shares(text: str) -> np.ndarray | None:
             n["odd" if size > 3 and not t.isdigit() else "number"] += size
         elif c == "\n":
             n["break"] += 1
-            n["item"] += line.item()
+            lines.append(line)
             line = _Line()
         elif c in "  　":
             n["cell" if size > 1 and before != "\n" else "blank"] += size
@@ -194,16 +204,23 @@ def shares(text: str) -> np.ndarray | None:
         else:
             n["symbol"] += size
         before = c
-    n["item"] += line.item() if n["break"] else 0
+    lines.append(line)
     most = max(by_language)
-    if most >= 0.12 * n["word"]:  # too many function words for items: narrow lines of prose
-        n["item"] = 0
-    n["word"] -= n["item"]
-    n["word"] -= most
-    n["function"] += most
-    if wide:
-        n["function"] += max(kana, chinese)
-        n["word"] += wide - max(kana, chinese)
+    wide, kana, chinese = (sum(getattr(x, c) for x in lines) for c in ("wide", "kana", "chinese"))
+    n["word"] += wide
+    # Too many function words, or characters of grammar, for items: narrow lines of prose.
+    prose = most >= 0.12 * (n["word"] - wide) if n["word"] > wide else True
+    wide_prose = kana >= 0.4 * wide or chinese >= 0.12 * wide
+    if len(lines) > 1:
+        for x in lines:
+            if x.item() and not (wide_prose if x.wide > x.words - x.wide else prose):
+                n["item"] += x.words
+                wide, kana, chinese = wide - x.wide, kana - x.kana, chinese - x.chinese
+    grammar = max(kana, chinese) if wide else 0
+    # Function words of scripts without word lists aren't known: they are taken for as many as elsewhere.
+    grammar += FUNCTION_SHARE * min(unlisted, n["word"] - n["item"] - most - grammar)
+    n["word"] -= n["item"] + most + grammar
+    n["function"] += most + grammar
     if len(spoken) >= 12:
         triples = set(zip(spoken, spoken[1:], spoken[2:]))
         if len(triples) < max(5, 0.2 * (len(spoken) - 2)):

@@ -25,6 +25,34 @@ def test_prose_in_any_language_and_layout(code):
         assert nearest(t)[0] == "prose", (code, t)
 
 
+OTHERS = {
+    "ko": "기록 보관소의 관리인은 오래된 기록이 복사되었는지 확신할 수 없었지만, 감사관들과 오랫동안 이야기한 뒤에 조금 더 기다리기로 했다. 결국 날씨가 그들을 대신해 결정을 내렸다.",
+    "ar": "لم يكن أمين الأرشيف متأكدا من أن السجلات القديمة قد نسخت، لكنه قرر الانتظار بعد حديث طويل مع المراجعين. وفي النهاية كان الطقس هو الذي اتخذ القرار.",
+    "el": "Ο φύλακας του αρχείου δεν ήταν σίγουρος αν τα παλιά έγγραφα είχαν αντιγραφεί, αλλά μετά από μια μακρά συζήτηση με τους ελεγκτές αποφάσισε να περιμένει. Στο τέλος αποφάσισε ο καιρός.",
+    "hi": "अभिलेखागार के रखवाले को यकीन नहीं था कि पुराने दस्तावेज़ों की नकल हो चुकी है, लेकिन जाँचकर्ताओं से लंबी बातचीत के बाद उसने इंतज़ार करने का फैसला किया। अंत में मौसम ने ही फैसला कर दिया।",
+    "th": "ผู้ดูแลหอจดหมายเหตุไม่แน่ใจว่าเอกสารเก่าถูกคัดลอกแล้วหรือไม่ แต่หลังจากพูดคุยกับผู้ตรวจสอบเป็นเวลานานเขาก็ตัดสินใจรอต่อไป ในที่สุดสภาพอากาศก็ตัดสินแทนพวกเขา",
+    "fi": "Arkiston hoitaja ei ollut varma, oliko vanhat asiakirjat jo kopioitu, mutta keskusteltuaan pitkään tarkastajien kanssa hän päätti vielä odottaa. Lopulta sää ratkaisi asian heidän puolestaan.",
+    "tr": "Arşiv görevlisi eski kayıtların kopyalanıp kopyalanmadığından emin değildi, ancak denetçilerle uzun bir konuşmadan sonra biraz daha beklemeye karar verdi. Sonunda kararı onların yerine hava verdi.",
+    "he": "שומר הארכיון לא היה בטוח שהרשומות הישנות הועתקו, אבל אחרי שיחה ארוכה עם המבקרים החליט לחכות עוד קצת. בסופו של דבר מזג האוויר החליט במקומם.",
+}
+
+
+@pytest.mark.parametrize("code", OTHERS)
+def test_prose_in_languages_without_word_lists(code):
+    text = OTHERS[code]
+    for t in (text, text * 3, text + "\n\n" + text):
+        assert nearest(t)[0] == "prose", (code, nearest(t))
+
+
+@pytest.mark.parametrize("items", [["红色木椅", "旧账本复印件", "水泵", "花园软管", "备用轮胎", "老式收音机"], ["赤色木製椅子", "古い帳簿", "水道ポンプ", "庭用ホース", "予備タイヤ", "旧式ラジオ"]])
+def test_lists_without_blanks(items):
+    for mark in ("- ", "• ", ""):
+        assert nearest("\n".join(mark + x for x in items))[0] == "list"
+    wrapped = {"ja": PROSE["ja"], "zh": PROSE["zh"]}
+    for t in wrapped.values():
+        assert nearest("\n".join((t * 2)[k : k + 18] for k in range(0, 2 * len(t), 18)))[0] == "prose"
+
+
 def test_lists_tables_and_junk():
     rng = random.Random(1)
     items = ["red wooden chair", "Copy the long ledger", "water pump (32)", "Garden hose", "lamp, broken", "spare wheel", "Check tyres", "old radio"]
