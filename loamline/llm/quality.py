@@ -18,7 +18,6 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -125,23 +124,46 @@ def _look(token: str) -> tuple[str, tuple[int, ...], bool, bool]:
     return low, tuple(j for j in range(len(FUNCTION_WORDS)) if mask >> j & 1), not mask and _odd(token, low), not _VOWELLED.match(low)
 
 
-_seen = lru_cache(1 << 16)(_look)
+#: What a token is: a word, one of a script without blanks, or a class by itself.
+_WORD, _WIDE, _PLAIN = range(3)
+_known: dict[str, tuple] = {}
+MOST_KNOWN, KNOWN_CHARS = 1 << 17, 40  # tokens kept in a process, and how long they may be
+
+
+def _token(t: str) -> tuple:
+    """What a token is wherever it stands; tokens are looked up once in a process."""
+    c, size = t[0], len(t)
+    if c.isalpha() and not t.startswith(("http://", "https://")):
+        o = ord(c)
+        if 0x3040 <= o <= 0x30FF or 0x3400 <= o <= 0x9FFF:
+            return _WIDE, size, c, sum("぀" <= x <= "ゟ" for x in t), sum(x in CHINESE for x in t)
+        low, spoken_in, odd, apart = _look(t)
+        return _WORD, size, c, low, spoken_in, "odd" if odd else "word", size if apart and not odd else 0
+    if c.isdigit():
+        kind = "odd" if size > 3 and not t.isdigit() else "number"
+    elif c in "  　":
+        kind = "blank"
+    elif c in "\t|" or t.startswith("<"):
+        kind = "cell"
+    elif c in _ENDS:
+        kind = "end"
+    elif c in _SOFT:
+        kind = "soft"
+    else:
+        kind = "odd" if size > 1 else "symbol"
+    return _PLAIN, size, c, kind
 
 
 class _Line:
     """What makes a line an item."""
 
+    __slots__ = ("size", "words", "function", "last", "cells", "wide", "kana", "chinese")
+
     def __init__(self) -> None:
         self.size = self.words = self.function = 0
         self.wide = self.kana = self.chinese = 0  # of the line's words, characters of scripts without blanks
         self.last, self.cells = "", False
 
-    def see(self, c: str, size: int, words: int, function: int) -> None:
-        self.size += size
-        self.words += words
-        self.function += function
-        self.last = c if not c.isspace() else self.last
-
     def item(self) -> int:
         numbered = self.last in ".;"  # an item may end in one of these all the same, if it is very short
         return self.words if self.size <= (45 if not numbered else 40) and self.last not in "!?…。！？," and not self.cells and self.function <= 1 else 0
@@ -156,54 +178,62 @@ def shares(text: str) -> np.ndarray | None:
     by_language = [0] * len(FUNCTION_WORDS)
     spoken: list[str] = []
     before = "\n"
-    unlisted = 0
+    unlisted = blanks = 0
     line, lines = _Line(), []
+    if len(_known) > MOST_KNOWN:
+        _known.clear()
     for k, t in enumerate(tokens):
-        c, size = t[0], len(t)
-        if c.isalpha() and not t.startswith(("http://", "https://")):
-            o = ord(c)
-            if 0x3040 <= o <= 0x30FF or 0x3400 <= o <= 0x9FFF:
-                line.kana += sum("぀" <= x <= "ゟ" for x in t)
-                line.chinese += sum(x in CHINESE for x in t)
-                line.wide += size
-                line.see(c, 2 * size, size, 0)
-                before = c
-                continue
-            low, spoken_in, odd, apart = _seen(t) if size <= 40 else _look(t)
-            spoken.append(low)
-            line.see(c, size, 0 if spoken_in else size, bool(spoken_in))
-            for j in spoken_in:
-                by_language[j] += size
-            n["odd" if odd else "word"] += size
-            unlisted += size if apart and not odd else 0
-            before = c
+        if t == " ":
+            blanks += 1
+            line.size += 1
+            before = t
             continue
-        if c != "\n":
-            line.see(c, size, 0, 0)
-        if c.isdigit():
-            n["odd" if size > 3 and not t.isdigit() else "number"] += size
-        elif c == "\n":
+        if t == "\n":
             n["break"] += 1
             lines.append(line)
             line = _Line()
-        elif c in "  　":
-            n["cell" if size > 1 and before != "\n" else "blank"] += size
-            line.cells |= size > 1 and before != "\n"
-        elif c == "\t" or c == "|" or t.startswith("<"):
-            n["cell"] += size
-            line.cells = True
-        elif c in ",;" and k + 1 < len(tokens) and not tokens[k + 1][0].isspace() and tokens[k + 1][0] not in _SOFT:
-            n["cell"] += size
-            line.cells = True
-        elif c in _ENDS:
-            n["end"] += size
-        elif c in _SOFT:
-            n["soft"] += size
-        elif size > 1:
-            n["odd"] += size
+            before = t
+            continue
+        is_ = _known.get(t)
+        if is_ is None:
+            is_ = _token(t)
+            if is_[1] <= KNOWN_CHARS:
+                _known[t] = is_
+        size, c = is_[1], is_[2]
+        if is_[0] == _WORD:
+            _, _, _, low, spoken_in, kind, apart = is_
+            spoken.append(low)
+            line.size += size
+            if spoken_in:
+                line.function += 1
+                for j in spoken_in:
+                    by_language[j] += size
+            else:
+                line.words += size
+            n[kind] += size
+            unlisted += apart
+            line.last = c
+        elif is_[0] == _WIDE:
+            line.kana += is_[3]
+            line.chinese += is_[4]
+            line.wide += size
+            line.size += 2 * size
+            line.words += size
+            line.last = c
         else:
-            n["symbol"] += size
+            kind = is_[3]
+            line.size += size
+            if not c.isspace():
+                line.last = c
+            if kind == "blank":
+                kind = "cell" if size > 1 and before != "\n" else "blank"
+            elif c in ",;" and k + 1 < len(tokens) and not tokens[k + 1][0].isspace() and tokens[k + 1][0] not in _SOFT:
+                kind = "cell"
+            if kind == "cell":
+                line.cells = True
+            n[kind] += size
         before = c
+    n["blank"] += blanks
     lines.append(line)
     most = max(by_language)
     wide, kana, chinese = (sum(getattr(x, c) for x in lines) for c in ("wide", "kana", "chinese"))
