@@ -102,6 +102,37 @@ def bytes_of(size: Column) -> Column:
     return F.when(number != "", F.floor(number.cast("double") * F.pow(F.lit(1024.0), power)).cast("bigint"))
 
 
+def say(n: int, step: int, units: tuple[str, ...], last: str) -> str:
+    """A number with the largest unit that keeps it at one or more; one digit after the point unless it is whole."""
+    sign, size = ("-" if n < 0 else ""), float(abs(n))
+    for unit in units:
+        if size < step:
+            return f"{sign}{int(size)}{unit}" if size == int(size) else f"{sign}{size:.1f}{unit}"
+        size /= step
+    return f"{sign}{size:.1f}{last}"
+
+
+def _said(n: Column, step: int, units: tuple[str, ...], last: str) -> Column:
+    # Built-in formats round halves up from the decimal form; the digits shown are those of the binary number.
+    import pandas as pd
+
+    def run(numbers: pd.Series) -> pd.Series:
+        return numbers.map(lambda x: None if pd.isna(x) else say(int(x), step, units, last))
+
+    run.__annotations__ = {"numbers": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "string")(n)
+
+
+def said_bytes(n: Column) -> Column:
+    """268435456 → ``256MB``, 1500000000 → ``1.4GB``."""
+    return _said(n, 1024, ("B", "KB", "MB", "GB", "TB", "PB"), "EB")
+
+
+def said_count(n: Column) -> Column:
+    """1500 → ``1.5K``, 5600000000000 → ``5.6T``."""
+    return _said(n, 1000, ("", "K", "M", "B", "T"), "T")
+
+
 def shards_for(total: Column, target: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(total / target)).cast("bigint")
 

@@ -62,7 +62,9 @@ def tokenize(df: DataFrame, key: str, text: str, kind: str, path: str, end: int
                 try:
                     tokens.append(None if t is None else [*encode(t), *tail])
                     errors.append(None)
-                except Exception as e:
+                except BaseException as e:  # a tokenizer's panic is no Exception
+                    if isinstance(e, (KeyboardInterrupt, SystemExit, GeneratorExit)):
+                        raise
                     tokens.append(None)
                     errors.append(str(e)[:200])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tokens, pa.list_(pa.int32())), pa.array(errors, pa.string())], names=[key, "tokens", "error"])

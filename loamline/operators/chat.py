@@ -85,8 +85,18 @@ def _assistant(m: dict, past: bool) -> str:
     return text + END
 
 
-def chunks(messages: list[dict], tools: list[dict] | None = None) -> list[tuple[str, str]]:
-    """(role, text) of a conversation; a run of tool answers is one chunk of a user's."""
+def generation_prompt(think: bool = True) -> str:
+    """What an answer starts with when it is still to be made."""
+    return START + "assistant\n" + (THINK[0] if think else NO_THOUGHT)
+
+
+def chunks(messages: list[dict], tools: list[dict] | None = None, *, keep_thoughts: bool = False, budget: int | None = None, generate: bool = False, think: bool = True) -> list[tuple[str, str]]:
+    """(role, text) of a conversation; a run of tool answers is one chunk of a user's.
+
+    Thoughts before the last user turn are left out unless ``keep_thoughts``. ``budget`` tells the last user turn how many
+    tokens a thought may take. With ``generate`` the start of the next answer follows, as a chunk of its own, open for a
+    thought or (without ``think``) with an empty one.
+    """
     system = (messages[0].get("content") or "") if messages and messages[0]["role"] == "system" else ""
     rest = messages[1:] if messages and messages[0]["role"] == "system" else messages
     head = START + "system\n" + system
@@ -96,7 +106,7 @@ def chunks(messages: list[dict], tools: list[dict] | None = None) -> list[tuple[
     last = max((i for i, m in enumerate(rest) if m["role"] == "user"), default=-1)
     for i, m in enumerate(rest):
         if m["role"] == "assistant":
-            out.append(("assistant", _assistant(m, i < last)))
+            out.append(("assistant", _assistant(m, i < last and not keep_thoughts)))
         elif m["role"] == "tool":
             first = i == 0 or rest[i - 1]["role"] != "tool"
             final = i + 1 == len(rest) or rest[i + 1]["role"] != "tool"
@@ -106,10 +116,26 @@ def chunks(messages: list[dict], tools: list[dict] | None = None) -> list[tuple[
             else:
                 out[-1] = ("tool", out[-1][1] + text)
         else:
-            out.append((m["role"], f"{START}{m['role']}\n{m.get('content') or ''}{END}"))
+            told = f"\n\n{{thinking token budget: {budget}}}" if budget is not None and i == last else ""
+            out.append((m["role"], f"{START}{m['role']}\n{m.get('content') or ''}{told}{END}"))
+    if generate:
+        out.append(("generate", generation_prompt(think)))
     return out
 
 
+def prompt(messages: list[dict], tools: list[dict] | None = None, think: bool = True) -> str:
+    """A conversation up to its last user turn and the start of the answer to it; what comes after this is to be learnt.
+
+    An answer that doesn't reason starts with an empty thought. Without a user turn there is no prompt.
+    """
+    last = max((i for i, m in enumerate(messages) if m["role"] == "user"), default=None)
+    if last is None:
+        return ""
+    answer = messages[last + 1] if last + 1 < len(messages) else {}
+    reasons = bool(answer.get("reasoning_content")) or not answer
+    return "".join(t for _, t in chunks(messages[: last + 1], tools, generate=True, think=think and reasons))
+
+
 def sequences(messages: list[dict], tools: list[dict] | None = None) -> list[list[tuple[str, str, bool]]]:
     """The training sequences of a conversation, as chunks of (role, text, learn).
 
@@ -147,6 +173,18 @@ def render(df: DataFrame, key: str, messages: str, tools: str | None = None) ->
     return df.select(key, messages, said.alias("__tools")).mapInArrow(run, f"`{key}` {kind}, sequence int, chunks array<struct<role:string,text:string,learn:boolean>>")
 
 
+def prompts(df: DataFrame, key: str, messages: str, tools: str | None = None, think: bool = True) -> DataFrame:
+    """(key, prompt): the text of each conversation up to where the answer to its last user turn is made."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [prompt(m, json.loads(t) if t else None, think) if m else None for m, t in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.string())], names=[key, "prompt"])
+
+    said = F.col(tools) if tools else F.lit(None).cast("string")
+    return df.select(key, messages, said.alias("__tools")).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, prompt string")
+
+
 def turn_prefixes(messages: Column) -> Column:
     """For each user turn the messages up to the next one; the whole conversation if nothing in it reasons."""
     users = F.filter(F.transform(messages, lambda m, i: F.when(m["role"] == "user", i)), lambda i: i.isNotNull())

@@ -36,16 +36,24 @@ def balanced(files: DataFrame, dataset: str, name: str, size: str, shards: int)
 
 
 def apportioned(files: DataFrame, dataset: str, name: str, size: str, shards: int) -> DataFrame:
-    """(dataset, name, share): how many row shards each file gives when there are fewer files than shards.
+    """(dataset, name, share): how many row shards each file gives when there are no more files than shards.
 
-    Each file has the whole part of its share, at least one; what is left goes to the largest fractions,
-    of equal ones to the first file.
+    Each file has the whole part of its share, at least one. What is left goes to the largest fractions, of equal ones
+    to the first file. What is too much, because of the files that have one in place of less, is taken back one at a
+    time from files with more than one, from the one that is then least short of its exact share; so the shares of a
+    dataset add up to ``shards``. Files of no size at all count alike. A dataset of more files than shards gives
+    one to each.
     """
     every = Window.partitionBy(dataset)
-    share = F.col(size) * shards / F.sum(size).over(every)
-    base = files.withColumn("exact", share).withColumn("whole", F.greatest(F.lit(1), F.floor("exact")))
-    ranked = base.withColumn("left", shards - F.sum("whole").over(every)).withColumn("turn", F.row_number().over(every.orderBy(F.desc(F.col("exact") - F.floor("exact")), name)))
-    return ranked.select(dataset, name, (F.col("whole") + F.when(F.col("turn") <= F.col("left"), 1).otherwise(0)).cast("bigint").alias("share"))
+    count, total = F.count("*").over(every), F.sum(F.coalesce(size, F.lit(0))).over(every)
+    share = F.when(total > 0, F.coalesce(size, F.lit(0)) * shards / total).otherwise(F.lit(float(shards)) / count)
+    base = files.select(dataset, name, size).withColumn("exact", share).withColumn("whole", F.greatest(F.lit(1), F.floor("exact")))
+    left = base.withColumn("left", shards - F.sum("whole").over(every)).withColumn("turn", F.row_number().over(every.orderBy(F.desc(F.col("exact") - F.floor("exact")), name)))
+    # Each share beyond the first can be taken back: no more rows than files and shards.
+    spare = left.where("left < 0 AND whole > 1").select(dataset, name, "exact", "whole", "left", F.explode(F.sequence(F.lit(1), F.col("whole") - 1)).alias("nth"))
+    back = spare.withColumn("taken", F.row_number().over(every.orderBy(F.col("exact") - F.col("whole") + F.col("nth"), name))).where("taken <= -left").groupBy(dataset, name).agg(F.count("*").alias("less"))
+    given = F.col("whole") + F.when(F.col("turn") <= F.col("left"), 1).otherwise(0) - F.coalesce("less", F.lit(0))
+    return left.join(back, [dataset, name], "left").select(dataset, name, given.cast("bigint").alias("share"))
 
 
 def plan_hash(*parts: Column) -> Column:

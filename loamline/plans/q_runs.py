@@ -118,9 +118,30 @@ def run01(spark, sf_dir):
     return R.balanced(_files(spark, sf_dir), "dataset", "file", "size", 4)
 
 
-@add("run02_row_shards", "WITH f AS (SELECT coalesce(subset, '') AS dataset, path AS file, count(*) AS size FROM source_records WHERE path IS NOT NULL GROUP BY ALL), e AS (SELECT *, size * 16 / sum(size) OVER (PARTITION BY dataset) AS exact FROM f), w AS (SELECT *, greatest(1, floor(exact)) AS whole FROM e), r AS (SELECT *, 16 - sum(whole) OVER (PARTITION BY dataset) AS rest, row_number() OVER (PARTITION BY dataset ORDER BY exact - floor(exact) DESC, file) AS turn FROM w) SELECT dataset, file, CAST(whole + CASE WHEN turn <= rest THEN 1 ELSE 0 END AS BIGINT) AS share FROM r")
+_SHARES = """
+f AS (SELECT coalesce(subset, '') AS dataset, path AS file, count(*) AS size FROM source_records WHERE path IS NOT NULL GROUP BY ALL),
+e AS (SELECT *, size * 16 / sum(size) OVER (PARTITION BY dataset) AS exact FROM f WHERE dataset IN (SELECT dataset FROM f GROUP BY dataset HAVING count(*) <= 16)),
+w AS (SELECT *, CAST(greatest(1, floor(exact)) AS BIGINT) AS whole FROM e),
+r AS (SELECT *, 16 - sum(whole) OVER (PARTITION BY dataset) AS rest, row_number() OVER (PARTITION BY dataset ORDER BY exact - floor(exact) DESC, file) AS turn FROM w),
+b AS (SELECT dataset, file, rest, row_number() OVER (PARTITION BY dataset ORDER BY exact - whole + nth, file) AS taken FROM (SELECT *, unnest(range(1, whole)) AS nth FROM r WHERE rest < 0) t),
+l AS (SELECT dataset, file, count(*) AS less FROM b WHERE taken <= -rest GROUP BY ALL),
+s AS (SELECT dataset, file, CAST(whole + CASE WHEN turn <= rest THEN 1 ELSE 0 END - coalesce(less, 0) AS BIGINT) AS share FROM r LEFT JOIN l USING (dataset, file))"""
+
+
+def _few_files(spark, sf_dir):
+    """Datasets of no more files than shards; others are balanced by file."""
+    files = _files(spark, sf_dir)
+    return files.join(files.groupBy("dataset").agg(F.count("*").alias("n")).where("n <= 16").select("dataset"), "dataset")
+
+
+@add("run02_row_shards", f"WITH {_SHARES} SELECT dataset, file, share FROM s")
 def run02(spark, sf_dir):
-    return R.apportioned(_files(spark, sf_dir), "dataset", "file", "size", 16)
+    return R.apportioned(_few_files(spark, sf_dir), "dataset", "file", "size", 16)
+
+
+@add("run02_shards_add_up", "SELECT coalesce(subset, '') AS dataset, CAST(16 AS BIGINT) AS shares FROM source_records WHERE path IS NOT NULL GROUP BY coalesce(subset, '') HAVING count(DISTINCT path) <= 16")
+def run02_sums(spark, sf_dir):
+    return R.apportioned(_few_files(spark, sf_dir), "dataset", "file", "size", 16).groupBy("dataset").agg(F.sum("share").alias("shares"))
 
 
 @add("run03_plan_hash", """SELECT name, left(sha256('{"name":"' || name || '","version":"1"}'), 16) AS plan FROM data_blend_raw_phase1""")
@@ -145,10 +166,24 @@ def run10(spark, sf_dir):
     return R.enough_files(_files(spark, sf_dir), "dataset", "file", "size", 20).select("dataset", "file")
 
 
-@add("run12_byte_sizes", "SELECT size, bytes FROM (VALUES ('256MB', 268435456), ('1 GiB', 1073741824), ('1.5K', 1536), ('77', 77), ('2tb', 2199023255552), ('x', NULL), ('3 MiBs', NULL)) t(size, bytes)")
+@add("run12_byte_sizes", "SELECT doc_id, n_chars * 1024 AS kib, n_chars * 1073741824 AS gib, n_chars AS plain FROM documents")
 def run12(spark, sf_dir):
-    rows = spark.createDataFrame([(x,) for x in ("256MB", "1 GiB", "1.5K", "77", "2tb", "x", "3 MiBs")], "size string")
-    return rows.select("size", T.bytes_of(F.col("size")).alias("bytes"))
+    n = F.col("n_chars").cast("string")
+    read = [T.bytes_of(F.concat(n, F.lit(unit))).alias(c) for unit, c in ((" kib", "kib"), ("GB", "gib"), ("", "plain"))]
+    return load(spark, sf_dir, "documents").select("doc_id", *read)
+
+
+@add(
+    "run12_said_sizes",
+    """SELECT record_id, CASE WHEN n < 1024 THEN n || 'B' WHEN n < 1048576 THEN CASE WHEN n % 1024 = 0 THEN (n // 1024) || 'KB' ELSE printf('%.1f', n / 1024) || 'KB' END
+    WHEN n < 1073741824 THEN CASE WHEN n % 1048576 = 0 THEN (n // 1048576) || 'MB' ELSE printf('%.1f', n / 1048576) || 'MB' END ELSE CASE WHEN n % 1073741824 = 0 THEN (n // 1073741824) || 'GB' ELSE printf('%.1f', n / 1073741824) || 'GB' END END AS bytes,
+    CASE WHEN n < 1000 THEN n || '' WHEN n < 1000000 THEN CASE WHEN n % 1000 = 0 THEN (n // 1000) || 'K' ELSE printf('%.1f', n / 1000) || 'K' END
+    WHEN n < 1000000000 THEN CASE WHEN n % 1000000 = 0 THEN (n // 1000000) || 'M' ELSE printf('%.1f', n / 1000000) || 'M' END ELSE CASE WHEN n % 1000000000 = 0 THEN (n // 1000000000) || 'B' ELSE printf('%.1f', n / 1000000000) || 'B' END END AS many
+    FROM (SELECT DISTINCT record_id, n_tokens * n_tokens AS n FROM source_records WHERE n_tokens > 0) t""",
+)
+def run12_said(spark, sf_dir):
+    n = F.col("n_tokens") * F.col("n_tokens")
+    return load(spark, sf_dir, "source_records").where("n_tokens > 0").select("record_id", n.alias("n")).distinct().select("record_id", T.said_bytes(F.col("n")).alias("bytes"), T.said_count(F.col("n")).alias("many"))
 
 
 @add("run12_shard_counts", "SELECT path, greatest(1, CAST(ceil(sum(n_tokens) / 100000) AS BIGINT)) AS shards FROM source_records WHERE n_tokens > 0 GROUP BY path")

@@ -67,10 +67,18 @@ def tok04_all(spark, sf_dir):
     return C.render(_chats(spark, sf_dir), "row_id", "messages").select("row_id", F.array_join(F.transform("chunks", lambda c: c["text"]), "").alias("said"))
 
 
-@add("tok05_last_user_end", f"SELECT row_id, length('<|im_start|>system' || chr(10) || coalesce(persona, '') || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || user_query || '<|im_end|>' || chr(10)) AS n FROM {SFT} t WHERE user_query IS NOT NULL AND assistant_response IS NOT NULL")
+_PROMPT = "'<|im_start|>system' || chr(10) || coalesce(persona, '') || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || user_query || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || '<think></think>'"
+
+
+@add("tok04_generation_prompts", f"SELECT row_id, {_PROMPT} AS prompt FROM {SFT} t WHERE user_query IS NOT NULL AND assistant_response IS NOT NULL")
+def tok04_prompts(spark, sf_dir):
+    return C.prompts(_chats(spark, sf_dir), "row_id", "messages")
+
+
+@add("tok05_last_user_end", f"SELECT row_id, length({_PROMPT}) AS n FROM {SFT} t WHERE user_query IS NOT NULL AND assistant_response IS NOT NULL")
 def tok05(spark, sf_dir):
-    made = C.render(_chats(spark, sf_dir), "row_id", "messages")
-    return made.select("row_id", F.char_length(F.array_join(F.transform(F.filter("chunks", lambda c: ~c["learn"]), lambda c: c["text"]), "")).cast("bigint").alias("n"))
+    """Where the answer starts, behind the start of the answer itself."""
+    return C.prompts(_chats(spark, sf_dir), "row_id", "messages").select("row_id", F.char_length("prompt").cast("bigint").alias("n"))
 
 
 @add("tok06_role_chunks", f"SELECT row_id, 3 AS chunks, 1 AS learned FROM {SFT} t WHERE user_query IS NOT NULL AND assistant_response IS NOT NULL")
@@ -105,11 +113,10 @@ def tok09(spark, sf_dir):
     return rows.select("row_id", mask.alias("mask")).select("row_id", F.size("mask").cast("bigint").alias("n"), F.aggregate("mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("learned"))
 
 
-@add("tok10_chat_pipeline", f"SELECT count(*) AS sequences, CAST(sum(least({_W.format(_IM)}, 120)) AS BIGINT) AS tokens, count(*) FILTER (WHERE {_W.format(_IM)} > 120) AS cut FROM {SFT} t WHERE user_query IS NOT NULL AND assistant_response IS NOT NULL AND topic = 'banking'")
+@add("tok10_chat_pipeline", f"SELECT count(*) AS sequences, CAST(sum(least({_W.format(_IM)}, 120)) AS BIGINT) AS tokens, count(*) FILTER (WHERE {_W.format(_IM)} > 120) AS cut FROM {SFT} t WHERE user_query IS NOT NULL AND assistant_response IS NOT NULL")
 def tok10(spark, sf_dir):
     """Filter, render, tokenize and cut, with a counter for each cause."""
-    rows = _chats(spark, sf_dir).join(sft(spark, sf_dir).where("topic = 'banking'").select("row_id"), "row_id", "left_semi")
-    made = C.render(rows, "row_id", "messages").select(F.size(K.plain_tokens(F.array_join(F.transform("chunks", lambda c: c["text"]), ""))).alias("n"))
+    made = C.render(_chats(spark, sf_dir), "row_id", "messages").select(F.size(K.plain_tokens(F.array_join(F.transform("chunks", lambda c: c["text"]), ""))).alias("n"))
     return made.agg(F.count("*").alias("sequences"), F.sum(F.least("n", F.lit(120))).alias("tokens"), F.count_if(F.col("n") > 120).alias("cut"))
 
 

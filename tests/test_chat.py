@@ -1,4 +1,4 @@
-from loamline.operators.chat import START, chunks, describe_tools, render, sequences
+from loamline.operators.chat import START, chunks, describe_tools, prompt, prompts, render, sequences
 
 U, A, S = {"role": "user", "content": "u"}, {"role": "assistant", "content": "a"}, {"role": "system", "content": "s"}
 
@@ -52,3 +52,22 @@ def test_every_conversation_is_rendered(spark, sf):
     got = sorted(tuple(r) for r in q_tokens.registry.queries["tok04_all_chats"](spark, sf).collect())
     assert got == sorted((r["row_id"], said(r)) for r in rows)
     assert any(not r["assistant_response"].isascii() for r in rows)
+
+
+def test_options():
+    thought = {"role": "assistant", "content": "a", "reasoning_content": "t"}
+    kept, cut = chunks([U, thought, U], keep_thoughts=True), chunks([U, thought, U])
+    assert kept[2][1] == START + "assistant\n<think>\nt\n</think>\na<|im_end|>\n" and cut[2][1] == START + "assistant\n<think></think>\na<|im_end|>\n"
+    told = chunks([U, A, U], budget=512)
+    assert told[3][1] == START + "user\nu\n\n{thinking token budget: 512}<|im_end|>\n" and "budget" not in told[1][1]
+    assert chunks([U], generate=True)[-1] == ("generate", START + "assistant\n<think>\n")
+    assert chunks([U], generate=True, think=False)[-1] == ("generate", START + "assistant\n<think></think>")
+
+
+def test_prompts_are_what_the_answer_follows(spark):
+    thought = {"role": "assistant", "content": "a", "reasoning_content": "t"}
+    for messages in ([S, U, A], [U, A, U, A], [S, U, thought], [U, thought, U, thought]):
+        assert text(chunks(messages)).startswith(prompt(messages)) and prompt(messages).endswith("<think>\n" if "reasoning_content" in messages[-1] else "<think></think>")
+    assert prompt([S]) == "" and prompt([U]).endswith("<think>\n") and prompt([U, thought], think=False).endswith("<think></think>")
+    df = spark.createDataFrame([(1, None), (2, [("user", "u")])], "id int, messages array<struct<role:string,content:string>>")
+    assert {r["id"]: r["prompt"] for r in prompts(df, "id", "messages").collect()} == {1: None, 2: prompt([U])}

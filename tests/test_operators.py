@@ -143,11 +143,23 @@ def test_mark_and_drop_with_nulls(spark):
     assert {r["k"] for r in joins.drop_listed(df, listed, "k").collect()} == {1, None}
 
 
+def test_said_sizes():
+    from loamline.functions.text import say
+
+    units, counts = ("B", "KB", "MB", "GB", "TB", "PB"), ("", "K", "M", "B", "T")
+    assert [say(n, 1024, units, "EB") for n in (268435456, 1073741824, 1500000000, 0, -2048, 2**60)] == ["256MB", "1GB", "1.4GB", "0B", "-2KB", "1.0EB"]
+    assert [say(n, 1000, counts, "T") for n in (500, 1500, 1500000, 2300000000, 5600000000000)] == ["500", "1.5K", "1.5M", "2.3B", "5.6T"]
+
+
 def test_runs(spark):
     assert runs.balance([("a", 5), ("b", 4), ("c", 3), ("d", 2)], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
     assert runs.balance([("b", 0), ("a", 0), ("c", 0)], 2) == {"a": 0, "b": 1, "c": 0}
     files = spark.createDataFrame([("d", "x", 70), ("d", "y", 30)], "d string, f string, n bigint")
     assert {r["f"]: r["share"] for r in runs.apportioned(files, "d", "f", "n", 5).collect()} == {"x": 4, "y": 1}
+    many = [("a", f"f{k:02d}", 1) for k in range(12)] + [("a", "big", 500), ("a", "mid", 90)] + [("b", f"g{k}", 0) for k in range(3)]
+    shares = {(r["d"], r["f"]): r["share"] for r in runs.apportioned(files.sparkSession.createDataFrame(many, "d string, f string, n bigint"), "d", "f", "n", 16).collect()}
+    assert sum(v for (d, _), v in shares.items() if d == "a") == 16 and min(shares.values()) == 1 and shares["a", "big"] == 3 and shares["a", "mid"] == 1
+    assert sorted(v for (d, _), v in shares.items() if d == "b") == [5, 5, 6]
     chain = spark.createDataFrame([(k, k - 1) for k in range(1, 30)] + [(0, 29)], "c int, p int")  # a cycle
     made = runs.made_from(chain, "c", "p").collect()
     assert len(made) == 30 * 29 and max(r["depth"] for r in made) == 29
