@@ -102,10 +102,11 @@ def proj24(spark, sf_dir):
     return load(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id bigint, chunk int, said string")
 
 
-@add("proj30_main_text", "SELECT question_id, question AS said FROM benchmark_mcq WHERE NOT regexp_matches(question, '[<&]') AND question = trim(regexp_replace(question, '\\s+', ' ', 'g'))")
+@add("proj30_main_text", "SELECT question_id, trim(regexp_replace(question, '\\s+', ' ', 'g')) AS said FROM benchmark_mcq")
 def proj30(spark, sf_dir):
-    rows = load(spark, sf_dir, "benchmark_mcq").where(~F.col("question").rlike("[<&]") & (F.col("question") == F.trim(F.regexp_replace("question", r"\s+", " "))))
-    page = F.concat(F.lit("<html><head><style>x{}</style></head><body><ul><li><a href='#'>Home</a></li><li><a>Next</a></li></ul><div><p>"), "question", F.lit("</p></div><footer><a>more links here, all of them</a></footer></body></html>"))
+    rows = load(spark, sf_dir, "benchmark_mcq")
+    escaped = F.regexp_replace(F.regexp_replace("question", "&", "&amp;"), "<", "&lt;")
+    page = F.concat(F.lit("<html><head><style>x{}</style></head><body><ul><li><a href='#'>Home</a></li><li><a>Next</a></li></ul><div><p>"), escaped, F.lit("</p></div><footer><a>more links here, all of them</a></footer></body></html>"))
     return rows.select("question_id", warc.main_text(page).alias("said"))
 
 

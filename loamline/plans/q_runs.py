@@ -55,12 +55,18 @@ def sink07(spark, sf_dir):
     return tars.read_tars(spark, where).select("key", F.decode("content", "utf-8").alias("said"))
 
 
-@add("sink08_member_index", "SELECT l_orderkey, l_linenumber, CAST(coalesce(lead(off) OVER (PARTITION BY l_orderkey ORDER BY off) - off, CAST(ceil((off + 100) / 512) * 512 AS BIGINT) - off) AS BIGINT) AS size FROM (SELECT l_orderkey, l_linenumber, sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS off FROM lineitem) t")
+@add("sink08_member_index", "SELECT CAST(doc_id AS VARCHAR) AS key, CAST(512 + ceil(strlen(text) / 512) * 512 AS BIGINT) AS bytes, true AS aligned FROM documents WHERE text IS NOT NULL")
 def sink08(spark, sf_dir):
-    upto = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey").rowsBetween(Window.unboundedPreceding, 0)
-    rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.sum(F.col("l_quantity").cast("bigint")).over(upto).alias("off"))
-    nxt = F.coalesce(F.lead("off").over(Window.partitionBy("l_orderkey").orderBy("off")), (F.ceil((F.col("off") + 100) / 512) * 512).cast("bigint"))
-    return rows.select("l_orderkey", "l_linenumber", (nxt - F.col("off")).alias("size"))
+    """The index of archives with a document a sample: a header and whole blocks each; only an archive's last sample reaches to its end."""
+    where = scratch(spark)
+    rows = load(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), F.lit("txt").alias("extension"), F.encode("text", "utf-8").alias("content"))
+    tars.write_tars(rows.repartition(8, "key"), where, "train")
+    members = tars.read_tars(spark, where).select("archive", "key", "offset", F.octet_length("content").alias("n"))
+    sizes = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(where).select(F.element_at(F.split("path", "/"), -1).alias("archive"), F.col("length").alias("bytes"))
+    index = tars.member_index(members, sizes).join(members.select("archive", "key", "n"), ["archive", "key"])
+    own = (512 + F.ceil(F.col("n") / 512) * 512).cast("bigint")
+    last = F.col("sample") == F.max("sample").over(Window.partitionBy("archive"))
+    return index.select("key", F.when(last & (F.col("bytes") >= own), own).otherwise(F.col("bytes")).cast("bigint").alias("bytes"), (F.col("offset") % 512 == 0).alias("aligned"))
 
 
 @add("sink09_retrieval_files", "SELECT 'd' || b.vec_id AS corpus_id, 'q' || a.vec_id AS query_id, 1 AS score FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0")
@@ -78,14 +84,13 @@ def sink09(spark, sf_dir):
     return back.join(known, "corpus-id", "left_semi").select(F.col("query-id").alias("query_id"), F.col("corpus-id").alias("corpus_id"), "score")
 
 
-@add("sink10_retriever_training", "SELECT vec_id AS question_id, list(other ORDER BY other) AS pos FROM (SELECT a.vec_id, b.vec_id AS other, row_number() OVER (PARTITION BY a.vec_id ORDER BY b.vec_id) AS k FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0) t WHERE k <= 5 GROUP BY vec_id")
+@add("sink10_retriever_training", "SELECT o_custkey AS question_id, list(o_orderkey ORDER BY o_orderkey) AS pos FROM orders GROUP BY o_custkey HAVING count(*) <= 5")
 def sink10(spark, sf_dir):
-    """Questions with their first five positives, which is the most that a training row holds."""
+    """Questions with their positives; a question of more than five is left out, before its positives are listed."""
     where = scratch(spark)
-    e = load(spark, sf_dir, "embeddings").select("vec_id", "label")
-    found = e.where("vec_id % 100 = 0").join(e.withColumnRenamed("vec_id", "other"), "label").where("vec_id <> other")
-    rows = found.withColumn("k", F.row_number().over(Window.partitionBy("vec_id").orderBy("other"))).where("k <= 5").groupBy(F.col("vec_id").alias("question_id")).agg(F.sort_array(F.collect_list("other")).alias("pos"))
-    rows.write.json(where)
+    found = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("question_id"), F.col("o_orderkey").alias("other"))
+    few = found.groupBy("question_id").agg(F.count("*").alias("n")).where("n <= 5").select("question_id")
+    found.join(few, "question_id", "left_semi").groupBy("question_id").agg(F.sort_array(F.collect_list("other")).alias("pos")).write.json(where)
     return spark.read.schema("question_id bigint, pos array<bigint>").json(where)
 
 
@@ -191,10 +196,11 @@ def run12_shards(spark, sf_dir):
     return load(spark, sf_dir, "source_records").where("n_tokens > 0").groupBy("path").agg(T.shards_for(F.sum("n_tokens"), F.lit(100_000)).alias("shards"))
 
 
-@add("run14_stage_names", "SELECT name, plain FROM (VALUES ('PlanStage', 'plan'), ('BinIdxWriteStage', 'bin_idx_write'), ('JSONLStage', 'jsonl'), ('download', 'download')) t(name, plain)")
+@add("run14_stage_names", "SELECT DISTINCT source AS said, 'bin_idx_' || source AS plain FROM documents WHERE source IS NOT NULL")
 def run14(spark, sf_dir):
-    rows = spark.createDataFrame([(x,) for x in ("PlanStage", "BinIdxWriteStage", "JSONLStage", "download")], "name string")
-    return rows.select("name", T.snake(F.col("name")).alias("plain"))
+    """Class names of stages, made of the kinds of origin, in their plain form."""
+    rows = load(spark, sf_dir, "documents").where("source IS NOT NULL").select("source").distinct()
+    return rows.select(F.col("source").alias("said"), T.snake(F.concat(F.lit("BinIdx"), F.initcap("source"), F.lit("Stage"))).alias("plain"))
 
 
 @add("run15_latest_artifacts", "SELECT source_id, max(doc_id) AS version, arg_max(url, doc_id) AS url FROM documents WHERE url IS NOT NULL GROUP BY source_id")
@@ -281,11 +287,13 @@ def rel04(spark, sf_dir):
     return made.select("l_returnflag", F.coalesce("F", F.lit(0)).alias("f"), F.coalesce("O", F.lit(0)).alias("o"))
 
 
-@add("tok11_sequences_by_source", "SELECT source, count(*) AS sequences FROM documents WHERE n_chars > 0 GROUP BY source")
+@add("tok11_sequences_by_source", "SELECT source, count(*) AS sequences, CAST(sum(least(n_chars, 8192)) AS BIGINT) AS held, CAST(0 AS BIGINT) AS overfull FROM documents WHERE n_chars > 0 GROUP BY source")
 def pack_metrics(spark, sf_dir):
+    """What the bins hold by source, and how many hold too much."""
     from loamline.operators.packing import assign_bins
 
     bins = assign_bins(load(spark, sf_dir, "documents").where("n_chars > 0"), "source", "doc_id", "n_chars", 8192)
-    return bins.groupBy("source").agg(F.count("*").alias("sequences"))
+    each = bins.groupBy("source", "part", "bin").agg(F.count("*").alias("n"), F.sum("n_chars").alias("held"))
+    return each.groupBy("source").agg(F.sum("n").alias("sequences"), F.sum("held").alias("held"), F.count_if(F.col("held") > 8192).alias("overfull"))
 
 

@@ -152,9 +152,9 @@ def proj26(spark, sf_dir):
     return load(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", at.alias("start"), F.substr("text", at + 1, F.lit(300)).alias("chunk"))
 
 
-@add("proj27_clean_up", r"""SELECT rec_id, regexp_replace(array_to_string(list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(text, '(?m)^#{1,6}\s+', '', 'g'), '\*\*([^*]+)\*\*', '\1', 'g'), '`([^`]*)`', '\1', 'g'), chr(10)), lambda x: NOT regexp_matches(x, '^\s*[-*•]')), chr(10)), '^"([\s\S]*)"$', '\1') AS said FROM (SELECT DISTINCT rec_id, trim(text) AS text FROM tiny WHERE text IS NOT NULL AND NOT contains(text, '__') AND NOT contains(text, ']('))""")
+@add("proj27_clean_up", r"""SELECT rec_id, regexp_replace(array_to_string(list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?m)^#{1,6}\s+', '', 'g'), '\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '\*\*([^*]+)\*\*|__([^_]+)__', '\1\2', 'g'), '`([^`]*)`', '\1', 'g'), chr(10)), lambda x: NOT regexp_matches(x, '^\s*[-*•]')), chr(10)), '^"([\s\S]*)"$', '\1') AS said FROM (SELECT DISTINCT rec_id, trim(text) AS text FROM tiny WHERE text IS NOT NULL)""")
 def proj27(spark, sf_dir):
-    rows = load(spark, sf_dir, "tiny").where("text IS NOT NULL AND NOT contains(text, '__') AND NOT contains(text, '](')").select("rec_id", F.trim("text").alias("text")).distinct()
+    rows = load(spark, sf_dir, "tiny").where("text IS NOT NULL").select("rec_id", F.trim("text").alias("text")).distinct()
     return rows.select("rec_id", F.regexp_replace(T.without_lines(T.without_markdown(F.col("text")), r"^\s*[-*•]"), r'^"([\s\S]*)"$', "$1").alias("said"))
 
 
@@ -280,12 +280,11 @@ def proj22(spark, sf_dir):
     return rows.select("doc_id", "fixed", (~F.col("text").eqNullSafe(F.col("fixed"))).alias("changed"))
 
 
-@add("proj28_question_pairs", f"SELECT row_id, trim(user_query) AS question, trim(topic) AS answer FROM {SFT} t WHERE trim(user_query) <> '' AND trim(topic) <> '' AND NOT regexp_matches(user_query, '(Question|Q|Answer|A):|^\\s|\\s$') AND NOT regexp_matches(topic, '(Question|Q|Answer|A):|^\\s|\\s$')")
+@add("proj28_question_pairs", f"SELECT row_id, trim(user_query) AS question, trim(topic) AS answer FROM {SFT} t WHERE trim(user_query) <> '' AND trim(topic) <> ''")
 def proj28(spark, sf_dir):
     from loamline.operators.scoring import question_pairs
 
-    plain = lambda c: ~F.col(c).rlike(r"(Question|Q|Answer|A):|^\s|\s$")
-    rows = sft(spark, sf_dir).where((F.trim("user_query") != "") & (F.trim("topic") != "") & plain("user_query") & plain("topic"))
+    rows = sft(spark, sf_dir).where((F.trim("user_query") != "") & (F.trim("topic") != ""))
     said = F.concat(F.lit("Here they are.\nQuestion: "), "user_query", F.lit("\nAnswer: "), "topic", F.lit("\nQuestion: none\nAnswer: "))
     return rows.select("row_id", F.inline(question_pairs(said)))
 

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loamline.functions import tokens as K
+from loamline.operators import aggregates as A
 from loamline.operators import chat as C
 from loamline.operators import packing as B
 from loamline.operators import shaping as P
 from loamline.operators import synthesis as Y
+from loamline.plans.q_aggregates import _CUM, _SCORED, _THR, PERCENTS, scored
 from loamline.plans.q_shaping import PREF, SFT, pref, sft
 from loamline.registry import Registry
+from loamline.session import cut
 from loamline.sources import binidx
 from loamline.sources.scratch import scratch
 from loamline.tables import load
@@ -34,9 +37,12 @@ def tok01_file(spark, sf_dir):
     return made.select("doc_id", F.size("tokens").alias("n"), "error")
 
 
-@add("tok02_failures_alone", "SELECT count(*) AS n, count(text) AS tokenized, 0 AS failed FROM documents")
+@add("tok02_failures_alone", "SELECT count(*) + 1 AS n, count(text) AS tokenized, CAST(1 AS INT) AS failed FROM documents")
 def tok02(spark, sf_dir):
-    made = K.tokenize(load(spark, sf_dir, "documents"), "doc_id", "text", "sentencepiece", f"{TOKENIZERS}/piece_bpe_32k.model")
+    """A row that the tokenizer can't take, a million blanks, among the documents: it alone fails."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    bad = spark.range(1).select(F.lit(-1).cast("bigint").alias("doc_id"), F.repeat(F.lit(" "), 1_000_000).alias("text"))
+    made = K.tokenize(docs.unionByName(bad), "doc_id", "text", "tiktoken", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
     return made.agg(F.count("*").alias("n"), F.count("tokens").alias("tokenized"), F.count("error").cast("int").alias("failed"))
 
 
@@ -159,15 +165,18 @@ def tok15(spark, sf_dir):
     return _sequences(spark, sf_dir).select("seq_id", F.posexplode("t").alias("pos", "token"))
 
 
-@add("tok16_packed_rows", f"""WITH s AS (SELECT CAST(seq_id % 50 AS INT) AS shard, seq_id, t FROM {_SEQ} a),
-b AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY shard ORDER BY seq_id) - 1) / 4) AS INT) AS bin FROM s),
-o AS (SELECT *, coalesce(sum(len(t)) OVER (PARTITION BY shard, bin ORDER BY seq_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM b)
-SELECT shard, bin, flatten(list(t ORDER BY seq_id)) AS input_ids, list(CAST(start AS INT) ORDER BY seq_id) AS seq_start_id, CAST(sum(len(t) - 1) AS BIGINT) AS learned FROM o GROUP BY shard, bin""")
+@add("tok16_packed_rows", f"""SELECT CAST(seq_id % 50 AS INT) AS shard, count(*) AS sequences, CAST(sum(len(t)) AS BIGINT) AS tokens, CAST(sum(list_sum(t)) AS BIGINT) AS ids, CAST(sum(len(t) - 1) AS BIGINT) AS learned, CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS misplaced FROM {_SEQ} a GROUP BY 1""")
 def tok16(spark, sf_dir):
-    s = _sequences(spark, sf_dir).withColumn("shard", (F.col("seq_id") % 50).cast("int")).withColumn("m", F.transform("t", lambda x: F.lit(1).cast("tinyint")))
-    bins = s.select("shard", "seq_id", F.lit(0).alias("part"), F.floor((F.row_number().over(Window.partitionBy("shard").orderBy("seq_id")) - 1) / 4).cast("int").alias("bin"))
-    packed = B.packed_rows(s, bins, "shard", "seq_id", "t", "m", 4096)
-    return packed.select("shard", "bin", "input_ids", "seq_start_id", F.aggregate("loss_mask", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("learned"))
+    """Bins of a packer put together: nothing is lost, no row is overfull, every row starts at 0 and places rise."""
+    s = _sequences(spark, sf_dir).withColumn("shard", (F.col("seq_id") % 50).cast("int")).withColumn("m", F.transform("t", lambda x: F.lit(1).cast("tinyint"))).withColumn("n", F.size("t"))
+    packed = B.packed_rows(s, B.assign_bins(s, "shard", "seq_id", "n", 32), "shard", "seq_id", "t", "m", 32)
+    add_up = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    starts = F.col("seq_start_id")
+    rising = F.forall(F.sequence(F.lit(1), F.size(starts)), lambda i: F.when(i == 1, starts[0] == 0).otherwise(F.get(starts, i - 1) > F.get(starts, i - 2)))
+    return packed.groupBy("shard").agg(
+        F.sum(F.size(starts)).alias("sequences"), F.sum(F.size("input_ids")).alias("tokens"), F.sum(add_up("input_ids")).alias("ids"), F.sum(add_up("loss_mask")).alias("learned"),
+        F.count_if(F.size("input_ids") > 32).alias("overfull"), F.count_if(~rising).alias("misplaced"),
+    )
 
 
 @add("tok17_shifted_masks", f"SELECT seq_id, list_concat(m[2:], [0]) AS m FROM (SELECT seq_id, list_transform(t, lambda x: CAST(x % 2 AS INT)) AS m FROM {_SEQ} a) b")
@@ -187,10 +196,11 @@ def tok20(spark, sf_dir):
     return B.rejoin(lines.withColumn("n", F.size(K.plain_tokens(F.col("said")))), "rec_id", "pos", "said", "n", 64)
 
 
-@add("tok21_task_buckets", "SELECT task, doc_id FROM documents, (SELECT unnest(['diverse_qa', 'distill', 'extract', 'list']) AS task) t WHERE n_chars % 20 IN (18, 19)")
+@add("tok21_task_buckets", f"WITH {_SCORED}, {_CUM}, {_THR} SELECT task, doc_id FROM scored, (SELECT unnest(['diverse_qa', 'distill', 'extract', 'list']) AS task) t WHERE (SELECT count(*) FROM thr WHERE threshold <= score) IN (18, 19)")
 def tok21(spark, sf_dir):
+    """The four tasks for documents of the two best quality buckets."""
     tasks = F.explode(F.array(*map(F.lit, ("diverse_qa", "distill", "extract", "list"))))
-    return load(spark, sf_dir, "documents").where((F.col("n_chars") % 20).isin(18, 19)).select(tasks.alias("task"), "doc_id")
+    return A.bucketed(cut(scored(spark, sf_dir)), "score", "bytes", PERCENTS).where(F.col("bucket").isin(18, 19)).select(tasks.alias("task"), "doc_id")
 
 
 @add("tok22_question_text", "SELECT question_id, 'Question: ' || question || chr(10) || 'Options:' || chr(10) || array_to_string(list_transform(options, lambda o, i: chr(CAST(64 + i AS INT)) || '. ' || o), chr(10)) || chr(10) || 'Answer: ' || answer AS said FROM benchmark_mcq")
@@ -290,11 +300,11 @@ def tok36(spark, sf_dir):
     return spark.read.schema("input string, output string").json(where)
 
 
-@add("tok37_index_pipeline", f"SELECT count(*) AS sequences, CAST(sum(len(t)) AS BIGINT) AS tokens, CAST(sum(list_sum(t)) AS BIGINT) AS sum FROM {_SEQ} a WHERE len(t) >= 3")
+@add("tok37_index_pipeline", f"SELECT count(*) AS sequences, CAST(sum(len(t)) AS BIGINT) AS tokens, CAST(sum(list_sum(t)) AS BIGINT) AS sum FROM {_SEQ} a")
 def tok37(spark, sf_dir):
     where = scratch(spark)
     binidx.register(spark)
-    _sequences(spark, sf_dir).where("size(t) >= 3").select("t").write.format("binidx").mode("append").save(where)
+    _sequences(spark, sf_dir).select("t").write.format("binidx").mode("append").save(where)
     back = spark.read.format("binidx").load(where)
     return back.agg(F.count("*").alias("sequences"), F.sum(F.size("tokens")).alias("tokens"), F.sum(F.aggregate("tokens", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("sum"))
 
