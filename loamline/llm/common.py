@@ -39,5 +39,9 @@ def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
     return F.broadcast(kept) if kept.count() <= rows else kept
 
 
+#: The words of a column in SQL.
+WORDS_SQL = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
+
+
 def blank(text: Column) -> Column:
     return text.isNull() | ~text.rlike(r"\S")

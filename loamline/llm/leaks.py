@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm.common import WORD, words
+from loamline.llm.common import WORD, WORDS_SQL, words
 from loamline.registry import Registry
 from loamline.session import spread
 from loamline.tables import load
@@ -121,7 +121,15 @@ def leaked(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     return found.select(*found.columns[:2]).distinct()
 
 
-@registry.add("p7_found")
+@registry.add(
+    "p7_found",
+    f"""
+WITH q AS (SELECT question_id, {WORDS_SQL.format('question')} AS w FROM benchmark_mcq UNION ALL SELECT question_id, {WORDS_SQL.format('cot_content')} FROM benchmark_mcq),
+g AS (SELECT DISTINCT question_id, hash(array_to_string(w[i:i + 12], ' ')) AS run FROM (SELECT question_id, w, unnest(range(1, len(w) - 11)) AS i FROM q) t),
+d AS (SELECT doc_id, {WORDS_SQL.format('text')} AS w FROM documents),
+h AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 12], ' ')) AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d) t)
+SELECT DISTINCT doc_id, question_id FROM h JOIN g USING (run)""",
+)
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark_mcq"))
 

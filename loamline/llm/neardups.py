@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm.common import small, words
+from loamline.llm.common import WORDS_SQL, small, words
 from loamline.operators.graph import components
 from loamline.registry import Registry
 from loamline.session import cut, spread
@@ -366,7 +366,15 @@ class NearDuplicates:
         )
 
 
-@registry.add("p5_found")
+@registry.add(
+    "p5_found",
+    f"""
+WITH d AS (SELECT DISTINCT rec_id, {WORDS_SQL.format('text')} AS w FROM tiny WHERE rec_id IS NOT NULL AND text IS NOT NULL),
+r AS (SELECT DISTINCT rec_id, hash(w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS run FROM (SELECT rec_id, w, unnest(range(1, len(w) - 1)) AS i FROM d) t),
+n AS (SELECT rec_id, count(*) AS n FROM r GROUP BY rec_id HAVING count(*) >= 40),
+c AS (SELECT a.rec_id AS x, b.rec_id AS y, count(*) AS n_both FROM r a JOIN r b ON a.run = b.run AND a.rec_id < b.rec_id GROUP BY ALL)
+SELECT x AS rec_a, y AS rec_b FROM c JOIN n a ON a.rec_id = x JOIN n b ON b.rec_id = y WHERE n_both >= 0.6 * (a.n + b.n - n_both)""",
+)
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDuplicates(load(spark, sf_dir, "tiny")).pairs()
 

@@ -353,7 +353,13 @@ class SharedSpans:
         )
 
 
-@registry.add("p2_found")
+@registry.add(
+    "p2_found",
+    """
+WITH d AS (SELECT DISTINCT rec_id, text FROM tiny WHERE rec_id IS NOT NULL AND length(text) >= 400),
+w AS (SELECT DISTINCT rec_id, hash(substr(text, i, 400)) AS span FROM (SELECT rec_id, text, unnest(range(1, length(text) - 398)) AS i FROM d) t)
+SELECT DISTINCT a.rec_id AS rec_a, b.rec_id AS rec_b FROM w a JOIN w b ON a.span = b.span AND a.rec_id < b.rec_id""",
+)
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SharedSpans(load(spark, sf_dir, "tiny")).pairs()
 
