@@ -14,7 +14,8 @@ threshold shares some shard with a probability of ``1 - (1 - s**rows)**bands`` (
 3 rows and 42 bands) and more the more similar it is. The trees of all shards of a task are built and asked at once, a
 level at a time. A shard is cut into blocks of ``block_rows`` records, one for nearly all: the tree of a
 block is asked by its own records and by those of the blocks after it, a pair of blocks at a time, so no
-task holds more than two blocks of one shard. Trees lie beside the records that ask them instead of being broadcast, since
+task holds more than two blocks of one shard. A sketch of some thousands of runs is nearly full and tells less: there
+more nodes are visited and more pairs go on to the exact check, but none is lost. Trees lie beside the records that ask them instead of being broadcast, since
 together they are as large as the corpus. Each pair found is held against the exact share of common runs.
 
 Records with the same set of runs form a class and enter the search once, so a text that fills a third

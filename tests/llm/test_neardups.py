@@ -113,15 +113,18 @@ def test_distance_of_sketches_is_never_more_than_the_runs_apart():
         assert np.bitwise_count(two[0] ^ two[1]).sum() <= len(np.setxor1d(a, b))
 
 
-@pytest.mark.parametrize("most, part", [(400, 0.35), (1500, 0.3)])
-def test_trees_prune_records_of_other_sizes(most, part):
-    """2,000 unrelated records of 40 runs and more in one shard: a part of the nodes is visited, nothing is found."""
+@pytest.mark.parametrize("most, part, false", [(400, 0.35, 0), (1500, 0.3, 0), (4000, 0.35, 100)])
+def test_trees_prune_records_of_other_sizes(most, part, false):
+    """2,000 unrelated records of 40 runs and more in one shard: a part of the nodes is visited.
+
+    Sketches of some thousands of runs are nearly full, so a few of the 2 million pairs are false candidates for the exact check.
+    """
     rng = np.random.default_rng(6)
     sizes = np.sort(np.exp(rng.uniform(np.log(40), np.log(most), 2000)).astype(np.int64))
     runs = rng.integers(0, 1 << 63, int(sizes.sum())).astype(np.uint64)
     prints = odd_sketches(runs, np.repeat(np.arange(2000), sizes), 2000, 4096)
     left, _, visited = search(prints, sizes, np.zeros(2000, np.int64), np.zeros(2000, bool), 0.6)
-    assert not len(left) and visited < part * 2000 * 2000
+    assert len(left) <= false and visited < part * 2000 * 2000
 
 
 def test_very_long_and_empty(spark):
