@@ -52,11 +52,15 @@ def agg02_buckets(spark, sf_dir):
     return A.bucketed(cut(scored(spark, sf_dir)), "score", "bytes", PERCENTS).groupBy("bucket", "lang").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
 
 
-@add("agg03_threshold_sample")
+#: A hundredth of the digests, as their first eight digits.
+_HUNDREDTH = f"{round(0.01 * 16**8):08x}"
+
+
+@add("agg03_threshold_sample", f"WITH {_SCORED.replace('scored AS', 'every AS')}, scored AS (SELECT * FROM every WHERE left(sha256('42:' || doc_id), 8) < '{_HUNDREDTH}'), {_CUM}, {_THR} SELECT CAST(p AS INT) AS p, threshold FROM thr")
 def agg03(spark, sf_dir):
-    """A seeded sample of a hundredth; only scores and bytes go on."""
-    kept = scored(spark, sf_dir).where(F.pmod(F.xxhash64(F.lit(42), "doc_id"), F.lit(100)) < 1)
-    return A.weighted_percentiles(kept, "score", "bytes", PERCENTS)
+    """Thresholds from a seeded sample of a hundredth; a table of few documents may give none."""
+    digest = F.substring(F.sha2(F.concat(F.lit("42:"), F.col("doc_id").cast("string")), 256), 1, 8)
+    return A.weighted_percentiles(scored(spark, sf_dir).where(digest < _HUNDREDTH), "score", "bytes", PERCENTS)
 
 
 @add("agg04_digitize", "SELECT l_orderkey, l_linenumber, CAST(len(list_filter([5.0, 10.0, 20.0, 30.0, 45.0], lambda t: t <= l_quantity)) AS INT) AS bucket FROM lineitem")
