@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The items of a pool that is drawn from.
+MOST_ITEMS = 100_000
+
 
 def _ranked(names: DataFrame, key: str, digest: Column) -> DataFrame:
     """(key, k, n): the place of each different name in the order of its digest, and how many there are.
@@ -55,7 +58,12 @@ def ratio_to_shards(total: Column, ratio: float) -> Column:
 
 
 def weighted_draws(queries: DataFrame, query: str, pool: DataFrame, item: str, weight: str, draws: int, seed: int) -> DataFrame:
-    """(query, draw, item): draws with replacement from a small pool, by where a hash falls on its cumulative weights."""
+    """(query, draw, item): draws with replacement from a small pool, by where a hash falls on its cumulative weights.
+
+    The pool is sent to all executors, so one of more than ``MOST_ITEMS`` is an error.
+    """
+    if pool.limit(MOST_ITEMS + 1).count() > MOST_ITEMS:
+        raise ValueError(f"a pool to draw from has at most {MOST_ITEMS} items")
     whole = Window.partitionBy(F.lit(1))
     upto = F.sum(weight).over(whole.orderBy(item).rowsBetween(Window.unboundedPreceding, 0)) / F.sum(weight).over(whole)
     table = pool.select(item, upto.alias("upto")).agg(F.sort_array(F.collect_list(F.struct("upto", item))).alias("pool"))

@@ -227,3 +227,13 @@ def test_recursive_chunks():
     assert sum(c.count("x") for c in made) >= 95
     assert T.recursive_chunks("", 10, 2) == T.recursive_chunks("  ", 10, 2) == [] and T.recursive_chunks("short", 10, 2) == ["short"]
     assert T.recursive_chunks("ab cd ef", 5, 3) == ["ab cd", "cd ef"]
+
+
+def test_a_pool_to_draw_from_is_bounded(spark, monkeypatch):
+    from loamline.operators import splits
+
+    queries, pool = spark.range(3).withColumnRenamed("id", "q"), spark.range(5).selectExpr("id AS item", "1.0 AS w")
+    assert splits.weighted_draws(queries, "q", pool, "item", "w", 2, 1).count() == 6
+    monkeypatch.setattr(splits, "MOST_ITEMS", 4)
+    with pytest.raises(ValueError):
+        splits.weighted_draws(queries, "q", pool, "item", "w", 2, 1)
